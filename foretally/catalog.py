@@ -7,14 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .functions.numeric import rounded
-from .plans import context, core, trends  # noqa: F401  (register their models)
+from .plans import assembly, context, core, mart, players, trends  # noqa: F401  (register their models)
 from .plans.registry import Models
 from .plans.views import staging_from_star
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 _GRAPHS: dict[tuple[str, str], Models] = {}
-_HELPERS = {"team_game_context", "team_rest_rows"}
+_HELPERS = {"team_game_context", "team_rest_rows", "injury_star_reports"}
 
 
 def graph(spark: SparkSession, sf_dir: str) -> Models:

@@ -6,9 +6,9 @@ from .sql import compose
 
 
 def all_sql() -> dict[str, str]:
-    from . import models
+    from . import assembly, models
 
     out: dict[str, str] = {}
-    for part in (models,):
+    for part in (models, assembly):
         out |= part.SQL
     return {k: compose(v) for k, v in out.items()}

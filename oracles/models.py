@@ -9,7 +9,7 @@ SQL: dict[str, str] = {}
 
 def add(name: str, sql: str) -> None:
     """A model's check is also a CTE, so later models can build on it."""
-    SQL[name] = f"select * from {name}"
+    SQL[name] = sql
     cte(name, sql)
 
 

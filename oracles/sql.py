@@ -31,8 +31,8 @@ def compose(sql: str) -> str:
 
     visit(sql)
     if not order:
-        return sql
-    return "with " + ",\n".join(f"{n} as ({CTES[n]})" for n in order) + "\n" + sql
+        return _marks(sql, True)
+    return "with " + ",\n".join(f"{n} as ({_marks(CTES[n], False)})" for n in order) + "\n" + _marks(sql, True)
 
 
 def h(x: str, n: int) -> str:
@@ -40,7 +40,22 @@ def h(x: str, n: int) -> str:
 
 
 def r(x: str) -> str:
-    return h(x, 6)
+    """Mark a value to be rounded to 6 digits when it is the result.
+
+    Inside a CTE the mark is dropped, so later models work on exact values.
+    """
+    return f"r6({x})"
+
+
+def _marks(sql: str, rounding: bool) -> str:
+    while (i := sql.find("r6(")) >= 0:
+        depth, j = 1, i + 3
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[j], 0)
+            j += 1
+        inner = sql[i + 3 : j - 1]
+        sql = sql[:i] + (h(f"({inner})", 6) if rounding else f"({inner})") + sql[j:]
+    return sql
 
 
 def lit(v) -> str:
