@@ -29,5 +29,14 @@ def _model_query(name: str) -> Query:
     return lambda spark, sf_dir: rounded(graph(spark, sf_dir)[name])
 
 
+def _rounded(q: Query) -> Query:
+    return lambda spark, sf_dir: rounded(q(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
-    return {n: _model_query(n) for n in Models.names() if n not in _HELPERS}
+    from . import catalog_jobs, catalog_sources
+
+    out: dict[str, Query] = {n: _model_query(n) for n in Models.names() if n not in _HELPERS}
+    for part in (catalog_sources.QUERIES, catalog_jobs.QUERIES):
+        out |= {n: _rounded(q) for n, q in part.items()}
+    return out

@@ -6,9 +6,9 @@ from .sql import compose
 
 
 def all_sql() -> dict[str, str]:
-    from . import assembly, models
+    from . import assembly, jobs, models, sources
 
     out: dict[str, str] = {}
-    for part in (models, assembly):
+    for part in (models, assembly, sources, jobs):
         out |= part.SQL
     return {k: compose(v) for k, v in out.items()}

@@ -140,8 +140,13 @@ def _groups() -> None:
     parts += by_side("int_team_recent_momentum", {f"recent_{k}_momentum": f"recent_{k}_momentum" for k in A.TREND_KEYS}) + by_side("int_team_perf_accel", {c: c for c in A.ACCEL})
     parts += [whole(n, ("rest_combination_key",)) for n in A.TRENDS]
     add("int_momentum_group_trends", group(parts, A.TREND_DIFFS))
-    add("int_game_momentum_features", "select b.*, " + ", ".join(f"{g[-5:]}.* exclude (game_id, game_date, home_team_id, away_team_id)" for g in A.GROUPS[1:]) + ", " +
+    cte("int_game_momentum_features", "select b.*, " + ", ".join(f"{g[-5:]}.* exclude (game_id, game_date, home_team_id, away_team_id)" for g in A.GROUPS[1:]) + ", " +
         ", ".join(f"{s} as {n}" for n, s in A.divergence_aliases().items()) + f" from {A.GROUPS[0]} b " + " ".join(f"left join {g} {g[-5:]} on {g[-5:]}.game_id = b.game_id" for g in A.GROUPS[1:]))
+    SQL["int_game_momentum_features"] = "select " + ", ".join(f"{r(c)} as {c}" if _real(k) else c for c, k in columns("int_game_momentum_features")) + " from int_game_momentum_features"
+
+
+def _real(kind: str) -> bool:
+    return kind == "DOUBLE" or kind.startswith("DECIMAL")
 
 
 def duck(expr: str) -> str:
@@ -170,7 +175,7 @@ def _mart() -> None:
     more = {**M.mart_diff_sql(have), **M.interaction_sql()}
     cte("mart3", f"select *, {', '.join(f'{duck(x)} as {n}' for n, x in more.items())} from mart2")
     cols = columns("mart3")
-    SQL["mart_game_features"] = "select " + ", ".join(f"{r(c)} as {c}" if k == "DOUBLE" or k.startswith("DECIMAL") else c for c, k in cols) + " from mart3"
+    SQL["mart_game_features"] = "select " + ", ".join(f"{r(c)} as {c}" if _real(k) else c for c, k in cols) + " from mart3"
 
 
 _groups()
