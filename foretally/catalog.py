@@ -14,7 +14,7 @@ from .plans.views import staging_from_star
 Query = Callable[[SparkSession, str], DataFrame]
 
 _GRAPHS: dict[tuple[str, str], Models] = {}
-_HELPERS = {"team_game_context", "team_rest_rows", "injury_star_reports"}
+_HELPERS = {"team_game_context", "team_rest_rows", "injury_star_reports", "light_mart"}
 
 
 def graph(spark: SparkSession, sf_dir: str) -> Models:
@@ -34,9 +34,9 @@ def _rounded(q: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    from . import catalog_jobs, catalog_sources
+    from . import catalog_jobs, catalog_ml, catalog_sources
 
     out: dict[str, Query] = {n: _model_query(n) for n in Models.names() if n not in _HELPERS}
-    for part in (catalog_sources.QUERIES, catalog_jobs.QUERIES):
+    for part in (catalog_sources.QUERIES, catalog_jobs.QUERIES, catalog_ml.QUERIES):
         out |= {n: _rounded(q) for n, q in part.items()}
     return out

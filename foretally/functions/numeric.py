@@ -49,11 +49,8 @@ def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double column, for results that are compared or published."""
-    return df.select(
-        *[
-            half_up(F.col(f"`{f.name}`"), digits).alias(f.name)
-            if isinstance(f.dataType, (T.DoubleType, T.FloatType))
-            else F.col(f"`{f.name}`")
-            for f in df.schema.fields
-        ]
-    )
+    real = (T.DoubleType, T.FloatType)
+    return df.selectExpr(*[
+        f"cast(round(cast(`{f.name}` as decimal(18,9)), {digits}) as double) as `{f.name}`" if isinstance(f.dataType, real) else f"`{f.name}`"
+        for f in df.schema.fields
+    ])

@@ -46,19 +46,19 @@ def to_game_rows(
     A game with no side row keeps the default of each feature. `diffs` maps an
     output name to the feature whose home minus away value it holds.
     """
+    marks = (("home", "is_home"), ("away", "not is_home"))
+    # Expression text keeps wide projections cheap to build.
     pivoted = sides.groupBy("game_id").agg(
-        *[
-            F.max(F.when(F.col("is_home") == F.lit(home), F.col(c))).alias(f"{side}_{c}")
-            for side, home in (("home", True), ("away", False))
-            for c in defaults
-        ]
-    )
+        *[F.expr(f"max(case when {mark} then `{c}` end) as `{side}_{c}`") for side, mark in marks for c in defaults])
     out = games.select(*dict.fromkeys(keep)).join(pivoted, "game_id", "left")
-    names = [(f"{side}_{c}", d) for side in ("home", "away") for c, d in defaults.items()]
-    out = out.select(
-        *keep,
-        *[(F.col(n) if d is None else F.coalesce(F.col(n), F.lit(d))).alias(n) for n, d in names],
-    )
-    for name, c in (diffs or {}).items():
-        out = out.withColumn(name, F.col(f"home_{c}") - F.col(f"away_{c}"))
-    return out
+    names = {f"{side}_{c}": filled(f"{side}_{c}", d) for side in ("home", "away") for c, d in defaults.items()}
+    more = {n: f"{names[f'home_{c}']} - {names[f'away_{c}']}" for n, c in (diffs or {}).items()}
+    return out.selectExpr(*keep, *[f"{e} as `{n}`" for n, e in {**names, **more}.items()])
+
+
+def filled(column: str, default) -> str:
+    """Expression text of a column with its default."""
+    if default is None:
+        return f"`{column}`"
+    text = f"{default!r}D" if isinstance(default, float) else str(default).lower()
+    return f"coalesce(`{column}`, {text})"

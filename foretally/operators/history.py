@@ -55,21 +55,22 @@ def _partials(ms: list[Measure]) -> list[Column]:
     return out
 
 
-def _combined(m: Measure, w) -> Column:
-    def total(prefix):
-        return F.sum(f"{prefix}{m.name}").over(w)
-
+def _combined(m: Measure, by: list[str], day: str) -> str:
+    keys = ", ".join(f"`{c}`" for c in by)
+    low = "unbounded" if m.days is None else str(m.days)
+    w = f"over (partition by {keys} order by unix_date(`{day}`) range between {low} preceding and 1 preceding)"
+    s, n = f"sum(`_s_{m.name}`) {w}", f"sum(`_n_{m.name}`) {w}"
     if m.fn == "sum":
-        return total("_s_")
+        return s
     if m.fn == "count":
-        return F.coalesce(total("_n_"), F.lit(0)).cast("long")
+        return f"coalesce({n}, 0L)"
     if m.fn == "avg":
-        return F.try_divide(total("_s_").cast("double"), total("_n_").cast("double"))
+        return f"try_divide(cast({s} as double), cast({n} as double))"
     if m.fn == "stddev":
-        n, s = total("_n_").cast("double"), total("_s_").cast("double")
-        var = F.try_divide(total("_q_") - F.try_divide(s * s, n), n - 1)
-        return F.when(n > 1, F.sqrt(F.greatest(var, F.lit(0.0))))
-    return getattr(F, m.fn)(f"_x_{m.name}").over(w)
+        squares = f"sum(`_q_{m.name}`) {w}"
+        var = f"try_divide({squares} - try_divide(cast({s} as double) * {s}, cast({n} as double)), cast({n} - 1 as double))"
+        return f"case when {n} > 1 then sqrt(greatest({var}, 0D)) end"
+    return f"{m.fn}(`_x_{m.name}`) {w}"
 
 
 def prior_days(facts: DataFrame, by: list[str], day: str, measures: list[Measure]) -> DataFrame:
@@ -79,15 +80,7 @@ def prior_days(facts: DataFrame, by: list[str], day: str, measures: list[Measure
     `facts`; join it back to the rows that ask.
     """
     daily = facts.groupBy(*by, day).agg(*_partials(measures))
-    order = Window.partitionBy(*by).orderBy(F.unix_date(F.col(day)))
-    return daily.select(
-        *by,
-        day,
-        *[
-            _combined(m, order.rangeBetween(_START if m.days is None else -m.days, -1)).alias(m.name)
-            for m in measures
-        ],
-    )
+    return daily.selectExpr(*by, day, *[f"{_combined(m, by, day)} as `{m.name}`" for m in measures])
 
 
 def _day_offsets(df: DataFrame, by: list[str], day: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.entity_rows import to_game_rows
+from ..operators.entity_rows import filled, to_game_rows
 from .registry import Models, model
 
 IDS = ["game_id", "game_date", "home_team_id", "away_team_id"]
@@ -38,9 +38,8 @@ def join_on_game(games: DataFrame, parts: list[DataFrame]) -> DataFrame:
     out = games.select(*IDS)
     for p in parts:
         out = out.join(p, "game_id", "left")
-    return out.select(*IDS, *[
-        F.coalesce(F.col(f.name), F.lit(neutral(f.name, f.dataType))).alias(f.name)
-        for f in out.schema.fields if f.name not in IDS])
+    return out.selectExpr(*IDS, *[
+        f"{filled(f.name, neutral(f.name, f.dataType))} as `{f.name}`" for f in out.schema.fields if f.name not in IDS])
 
 
 def from_model(m: Models, name: str, drop: tuple[str, ...] = ()) -> DataFrame:
@@ -50,13 +49,13 @@ def from_model(m: Models, name: str, drop: tuple[str, ...] = ()) -> DataFrame:
 def from_sides(m: Models, name: str, rename: dict[str, str]) -> DataFrame:
     """A (game, team) model as home_* / away_* columns per game."""
     host = m.games.select("game_id", "home_team_id")
-    rows = m[name].select("game_id", "team_id", *[F.col(c).alias(a) for c, a in rename.items()]).join(host, "game_id")
+    rows = m[name].selectExpr("game_id", "team_id", *[f"`{c}` as `{a}`" for c, a in rename.items()]).join(host, "game_id")
     rows = rows.withColumn("is_home", F.col("team_id") == F.col("home_team_id"))
     return to_game_rows(m.games, rows, {a: None for a in rename.values()}, keep=("game_id",))
 
 
 def with_diffs(df: DataFrame, names: dict[str, str]) -> DataFrame:
-    return df.select("*", *[(F.col(f"home_{c}") - F.col(f"away_{c}")).alias(n) for n, c in names.items()])
+    return df.selectExpr("*", *[f"home_{c} - away_{c} as `{n}`" for n, c in names.items()])
 
 
 BASIC = ("int_team_streaks", "int_team_streak_qual", "int_team_rest_days", "int_team_cum_fatigue", "int_team_weighted_momentum",
@@ -154,4 +153,4 @@ def game_momentum(m: Models) -> DataFrame:
     out = m[GROUPS[0]]
     for g in GROUPS[1:]:
         out = out.join(from_model(m, g), "game_id", "left")
-    return out.select("*", *[F.col(src).alias(name) for name, src in divergence_aliases().items()])
+    return out.selectExpr("*", *[f"{src} as {name}" for name, src in divergence_aliases().items()])

@@ -10,6 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,16 +94,16 @@ class Models:
     def games(self) -> DataFrame:
         return self.inputs["stg_games"]
 
-    @property
+    @cached_property
     def played(self) -> DataFrame:
         return self.games.filter(F.col("home_score").isNotNull() & F.col("away_score").isNotNull())
 
-    @property
+    @cached_property
     def tg(self) -> DataFrame:
         """One row per played game and side."""
         return to_entity_rows(self.played)
 
-    @property
+    @cached_property
     def decided(self) -> DataFrame:
         """Played games with a winner, per side."""
         return self.tg.filter(F.col("winner_team_id").isNotNull())

@@ -6,9 +6,9 @@ from .sql import compose
 
 
 def all_sql() -> dict[str, str]:
-    from . import assembly, jobs, models, sources
+    from . import assembly, jobs, ml, models, sources
 
     out: dict[str, str] = {}
-    for part in (models, assembly, sources, jobs):
+    for part in (models, assembly, sources, jobs, ml):
         out |= part.SQL
     return {k: compose(v) for k, v in out.items()}
