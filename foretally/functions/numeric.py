@@ -11,13 +11,25 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def half_up_sql(c: str, digits: int) -> str:
+    """Expression text of `half_up`."""
+    step = 10 ** (9 - digits)
+    k = f"((floor(abs({c}) * 1e9D + 0.5D) + {step // 2}L) div {step}L)"
+    return f"(case when abs({c}) >= 1e9D then {c} when {c} < 0 then -{k} / {10**digits}D else {k} / {10**digits}D end)"
+
+
 def half_up(c: str | Column, digits: int) -> Column:
-    """Round half away from zero on the decimal value, as NUMERIC does.
+    """Round half away from zero, as NUMERIC does, with ties taken on nine decimals.
 
-    The detour over DECIMAL(18,9) removes binary noise (1.005 stays a tie), so
-    the same value rounds the same way whatever order it was summed in.
+    Nine decimals remove binary noise (1.005 is stored as 1.00499...), so a value
+    rounds the same way whatever order it was summed in. The work is long
+    arithmetic inside generated code; magnitudes of 1e9 and more stay as they are.
     """
-    return F.round(col(c).cast("decimal(18,9)"), digits).cast("double")
+    x = col(c).cast("double")
+    step = 10 ** (9 - digits)
+    k = F.call_function("div", F.floor(F.abs(x) * 1e9 + 0.5) + F.lit(step // 2).cast("long"), F.lit(step).cast("long"))
+    scaled = F.when(x < 0, -k).otherwise(k) / float(10**digits)
+    return F.when(F.abs(x) >= 1e9, x).otherwise(scaled)
 
 
 def ratio(num: str | Column, den: str | Column) -> Column:
@@ -51,6 +63,5 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double column, for results that are compared or published."""
     real = (T.DoubleType, T.FloatType)
     return df.selectExpr(*[
-        f"cast(round(cast(`{f.name}` as decimal(18,9)), {digits}) as double) as `{f.name}`" if isinstance(f.dataType, real) else f"`{f.name}`"
-        for f in df.schema.fields
+        f"{half_up_sql(f'`{f.name}`', digits)} as `{f.name}`" if isinstance(f.dataType, real) else f"`{f.name}`" for f in df.schema.fields
     ])

@@ -152,10 +152,6 @@ def opponent_similarity(m: Models) -> DataFrame:
                     "current_game_similarity_score")
 
 
-def _within(days: int):
-    return lambda x: F.datediff(F.col(DAY), x.d) <= days
-
-
 @model("int_team_quality_adj_perf")
 def quality_adjusted(m: Models) -> DataFrame:
     rows = m["team_game_context"]
@@ -165,34 +161,30 @@ def quality_adjusted(m: Models) -> DataFrame:
                            probes=rows)
     at = attach(rows.select("game_id", "is_home", "team_id", DAY), last, ["team_id", DAY])
 
-    def total(xs, f):
-        return F.aggregate(xs, F.lit(0.0), lambda acc, x: acc + f(x))
-
-    def mean(xs, f):
-        return ratio(total(xs, f), F.size(xs))
-
-    cols = []
+    # One pass over each short list collects the sums all figures come from.
+    parts = ("ws", "ls", "wm", "lm", "wn", "ln")
     for n, days in ((5, 30), (10, 60)):
-        fresh = F.filter("recent", _within(days))
-        xs = F.slice(fresh, F.greatest(F.size(fresh) - n + 1, F.lit(1)), n)
-        won, lost = F.filter(xs, lambda x: x.w == 1), F.filter(xs, lambda x: x.w == 0)
+        fresh = f"filter(recent, x -> datediff({DAY}, x.d) <= {days})"
+        xs = f"slice({fresh}, greatest(size({fresh}) - {n - 1}, 1), {n})"
+        zero = "named_struct(" + ", ".join(f"'{p}', 0D" for p in parts) + ")"
+        step = ("named_struct('ws', a.ws + if(x.w = 1, x.s, 0D), 'ls', a.ls + if(x.w = 0, x.s, 0D), 'wm', a.wm + if(x.w = 1, x.m, 0D), "
+                "'lm', a.lm + if(x.w = 0, x.m, 0D), 'wn', a.wn + if(x.w = 1, 1D, 0D), 'ln', a.ln + if(x.w = 0, 1D, 0D))")
+        at = at.withColumn(f"_t{n}", F.expr(f"aggregate({xs}, {zero}, (a, x) -> {step})"))
+    cols = []
+    for n in (5, 10):
+        t = {p: f"_t{n}.{p}" for p in parts}
+        both_s, both_n = f"{t['ws']} + {t['ls']}", f"{t['wn']} + {t['ln']}"
         cols += [
-            mean(won, lambda x: x.s).alias(f"avg_opponent_strength_in_wins_{n}"),
-            mean(lost, lambda x: x.s).alias(f"avg_opponent_strength_in_losses_{n}"),
-            mean(xs, lambda x: x.s).alias(f"avg_opponent_strength_{n}"),
-            ratio(total(won, lambda x: x.s), total(xs, lambda x: x.s)).alias(f"quality_adjusted_win_pct_{n}"),
-            mean(won, lambda x: x.m).alias(f"avg_point_diff_in_wins_{n}"),
-            mean(lost, lambda x: x.m).alias(f"avg_point_diff_in_losses_{n}"),
-            F.when(F.col("recent").isNotNull(), F.size(won)).alias(f"wins_count_{n}"),
-            F.when(F.col("recent").isNotNull(), F.size(lost)).alias(f"losses_count_{n}"),
-            F.when(F.col("recent").isNotNull(), F.size(xs)).alias(f"total_games_{n}"),
-        ]
+            f"try_divide({t['ws']}, {t['wn']}) as avg_opponent_strength_in_wins_{n}", f"try_divide({t['ls']}, {t['ln']}) as avg_opponent_strength_in_losses_{n}",
+            f"try_divide({both_s}, {both_n}) as avg_opponent_strength_{n}", f"try_divide({t['ws']}, {both_s}) as quality_adjusted_win_pct_{n}",
+            f"try_divide({t['wm']}, {t['wn']}) as avg_point_diff_in_wins_{n}", f"try_divide({t['lm']}, {t['ln']}) as avg_point_diff_in_losses_{n}",
+            f"cast({t['wn']} as int) as wins_count_{n}", f"cast({t['ln']} as int) as losses_count_{n}", f"cast({both_n} as int) as total_games_{n}"]
     d: dict[str, object] = {}
     for n in (5, 10):
         d |= {f"avg_opponent_strength_in_wins_{n}": 0.5, f"avg_opponent_strength_in_losses_{n}": 0.5, f"avg_opponent_strength_{n}": 0.5,
               f"quality_adjusted_win_pct_{n}": 0.5, f"avg_point_diff_in_wins_{n}": 0.0, f"avg_point_diff_in_losses_{n}": 0.0,
               f"wins_count_{n}": 0, f"losses_count_{n}": 0, f"total_games_{n}": 0}
-    return to_game_rows(m.games, at.select("game_id", "is_home", *cols), d, {
+    return to_game_rows(m.games, at.selectExpr("game_id", "is_home", *cols), d, {
         f"{c}_diff_{n}": f"{c}_{n}" for c in ("quality_adjusted_win_pct", "avg_opponent_strength") for n in (5, 10)
     })
 

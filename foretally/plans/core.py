@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import flag, half_up, nvl, ratio
+from ..functions.numeric import flag, half_up, half_up_sql, nvl, ratio
 from ..operators.asof import asof_day
 from ..operators.entity_rows import to_game_rows
 from ..operators.history import Measure, attach, decayed, prior_days, prior_rows, rows_before_day, running, weighted
@@ -43,49 +43,49 @@ def box_rows(m: Models) -> DataFrame:
     )
 
 
-def rolling_metrics(w, n: int) -> dict[str, Column]:
-    """The rolling metrics over the n rows before the current one."""
-    frame = w(-n, -1)
+# Averages a frame needs, each computed once; the metrics are ratios of them.
+_AVERAGED = {"ppg": "points", "opp_ppg": "opponent_points", "win_pct": "is_win", "apg": "assists", "rpg": "rebounds", "fg_pct": "fg_pct",
+             "fg3_pct": "fg3_pct", "efg_pct": "efg_pct", "ts_pct": "ts_pct", "possessions": "possessions", "tov": "turnovers",
+             "spg": "steals", "bpg": "blocks"}
 
-    def avg(c: str) -> Column:
-        return F.avg(c).over(frame)
 
-    def per_100(c: Column) -> Column:
-        return F.when(avg("possessions") > 0, 100.0 * c / avg("possessions")).otherwise(0.0)
+def rolling_sums(w, n: int) -> dict[str, Column]:
+    """Plain window aggregates over the n rows before the current one."""
+    f = w(-n, -1)
+    out = {f"_{n}_{k}": F.avg(c).over(f) for k, c in _AVERAGED.items()}
+    out |= {f"_{n}_{k}_stddev": F.stddev_samp(c).over(f) for k, c in (("ppg", "points"), ("opp_ppg", "opponent_points"))}
+    out[f"wins_last_{n}"] = F.sum("is_win").over(f)
+    out[f"games_in_{n}_window"] = F.count(F.lit(1)).over(f)
+    return out
+
+
+def rolling_metrics(n: int) -> list[str]:
+    """The published metrics as expression text over the window aggregates."""
+    def a(k: str) -> str:
+        return f"_{n}_{k}"
+
+    def per_100(x: str) -> str:
+        return f"case when {a('possessions')} > 0 then 100D * ({x}) / {a('possessions')} else 0D end"
 
-    def cv(c: str) -> Column:
-        return F.when(avg(c) > 0, F.stddev_samp(c).over(frame) / avg(c)).otherwise(0.0)
+    def cv(k: str) -> str:
+        return f"case when {a(k)} > 0 then {a(k)}_stddev / {a(k)} else 0D end"
 
-    metrics = {
-        "ppg": avg("points"), "opp_ppg": avg("opponent_points"), "win_pct": avg("is_win"), "apg": avg("assists"),
-        "rpg": avg("rebounds"), "fg_pct": avg("fg_pct"), "fg3_pct": avg("fg3_pct"), "efg_pct": avg("efg_pct"),
-        "ts_pct": avg("ts_pct"), "possessions": avg("possessions"), "pace": avg("possessions"),
-        "off_rtg": per_100(avg("points")), "def_rtg": per_100(avg("opponent_points")),
-        "net_rtg": per_100(avg("points") - avg("opponent_points")),
-        "tov_rate": per_100(avg("turnovers")), "assist_rate": per_100(avg("assists")),
-        "steal_rate": per_100(avg("steals")), "block_rate": per_100(avg("blocks")),
-        "ppg_stddev": F.stddev_samp("points").over(frame),
-        "opp_ppg_stddev": F.stddev_samp("opponent_points").over(frame),
-        "ppg_cv": cv("points"), "opp_ppg_cv": cv("opponent_points"),
+    special = {
+        "pace": a("possessions"), "off_rtg": per_100(a("ppg")), "def_rtg": per_100(a("opp_ppg")), "net_rtg": per_100(f"{a('ppg')} - {a('opp_ppg')}"),
+        "tov_rate": per_100(a("tov")), "assist_rate": per_100(a("apg")), "steal_rate": per_100(a("spg")), "block_rate": per_100(a("bpg")),
+        "ppg_cv": cv("ppg"), "opp_ppg_cv": cv("opp_ppg"),
     }
-    out = {f"rolling_{n}_{k}": half_up(c, ROLLING_DIGITS[k]) for k, c in metrics.items()}
-    out[f"wins_last_{n}"] = F.sum("is_win").over(frame)
-    out[f"games_in_{n}_window"] = F.count(F.lit(1)).over(frame)
-    return out
+    rounded = [f"{half_up_sql('(' + special.get(k, a(k)) + ')', d)} as rolling_{n}_{k}" for k, d in ROLLING_DIGITS.items()]
+    return [*rounded, f"wins_last_{n}", f"games_in_{n}_window"]
 
 
 @model("int_team_rolling_stats", table=True)
 def team_rolling_stats(m: Models) -> DataFrame:
     rows = prior_rows(
-        box_rows(m), ["team_id"], *ORDER, depth=10,
-        exprs=lambda w: {**rolling_metrics(w, 5), **rolling_metrics(w, 10)}, keep_rank=True,
-    )
-    metrics = [c for c in rows.columns if c.startswith(("rolling_", "wins_last_", "games_in_"))]
-    won = F.when(F.col("winner_team_id").isNotNull(), F.col("is_win") == 1)
-    return rows.filter(F.col("_rn") > 5).select(
-        "team_id", "game_date", "game_id", F.col("_rn").alias("game_num"), "is_home", "points", "opponent_points",
-        won.alias("is_win"), *metrics,
-    )
+        box_rows(m), ["team_id"], *ORDER, depth=10, exprs=lambda w: {**rolling_sums(w, 5), **rolling_sums(w, 10)}, keep_rank=True)
+    return rows.filter("_rn > 5").selectExpr(
+        "team_id", "game_date", "game_id", "_rn as game_num", "is_home", "points", "opponent_points",
+        "case when winner_team_id is not null then is_win = 1 end as is_win", *rolling_metrics(5), *rolling_metrics(10))
 
 
 def lookup_columns() -> list[str]:

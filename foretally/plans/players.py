@@ -133,12 +133,13 @@ def game_injuries(m: Models) -> DataFrame:
     for (s, t), w in ABSENCE_WEIGHTS.items():
         weight = F.when((st == s) & (tier == t), w).otherwise(weight)
     absent = st.isin("Out", "Doubtful")
-    reported = hit.groupBy("team_id", "game_date").agg(
-        *[F.countDistinct(F.when((st == s.capitalize()) & (tier == tiers[t]), F.col("player_id"))).alias(f"{t}_players_{s}")
-          for s in ("out", "doubtful", "questionable") for t in ("star", "key")],
-        F.sum(F.col("impact_score") * weight).alias("injury_impact_score"),
-        F.countDistinct(F.when(absent, F.col("player_id"))).alias("injured_players_count"), F.max(flag(absent)).alias("has_key_injury"),
-    )
+    # Distinct players: one row per (team, day, player) first, then sums of its marks.
+    marks = {f"{t}_players_{s}": (st == s.capitalize()) & (tier == tiers[t]) for s in ("out", "doubtful", "questionable") for t in ("star", "key")}
+    marks["injured_players_count"] = absent
+    per_player = hit.groupBy("team_id", "game_date", "player_id").agg(
+        *[F.max(flag(c)).alias(n) for n, c in marks.items()], F.sum(F.col("impact_score") * weight).alias("injury_impact_score"))
+    reported = per_player.groupBy("team_id", "game_date").agg(
+        *[F.sum(n).alias(n) for n in marks], F.sum("injury_impact_score").alias("injury_impact_score"), F.max("injured_players_count").alias("has_key_injury"))
     # Without a report: stars of the team that did not play = all of them minus those who played.
     stars = m["int_star_players"]
     n_star, n_key = flag(F.col("player_tier") == "star"), flag(F.col("player_tier") == "key_player")
