@@ -13,7 +13,10 @@ from .plans.registry import shared_dir
 from .plans.views import staging_from_star
 from .sources import contracts, history, injury_pages, payloads, tables
 
-STAMP = F.to_timestamp(F.lit("2024-01-01 00:00:00"))
+
+
+def _stamp():
+    return F.to_timestamp(F.lit("2024-01-01 00:00:00"))
 
 
 def _stg(spark: SparkSession, d: str) -> dict[str, DataFrame]:
@@ -42,19 +45,19 @@ def schedule_docs(g: DataFrame) -> DataFrame:
 
 
 def src_games(spark, d):
-    return payloads.games_from_schedule(schedule_docs(_stg(spark, d)["stg_games"]), STAMP).drop("created_at")
+    return payloads.games_from_schedule(schedule_docs(_stg(spark, d)["stg_games"]), _stamp()).drop("created_at")
 
 
 def src_teams(spark, d):
     s = _stg(spark, d)
     league = s["stg_teams"].filter("team_id < 20").select(F.col("team_id").cast("long").alias("team_id"), "conference", "division")
-    return payloads.teams_from_schedule(schedule_docs(s["stg_games"]), league, STAMP).drop("created_at")
+    return payloads.teams_from_schedule(schedule_docs(s["stg_games"]), league, _stamp()).drop("created_at")
 
 
 def src_todays_games(spark, d):
     by_day = _stg(spark, d)["stg_games"].groupBy("game_date").agg(F.collect_list(_game_struct()).alias("games"))
     docs = by_day.select(F.to_json(F.struct(F.struct(F.col("game_date").cast("string").alias("gameDate"), "games").alias("scoreboard"))).alias("payload"))
-    return payloads.todays_games(docs, STAMP).drop("created_at")
+    return payloads.todays_games(docs, _stamp()).drop("created_at")
 
 
 def src_players(spark, d):
@@ -64,7 +67,7 @@ def src_players(spark, d):
     heads = F.array(*[F.lit(h) for h in ("PERSON_ID", "PLAYER_FIRST_NAME", "PLAYER_LAST_NAME", "TEAM_ID", "TEAM_ABBREVIATION", "ROSTER_STATUS", "PTS")])
     docs = p.groupBy("team_id").agg(F.collect_list(row).alias("rowSet")).select(
         F.to_json(F.struct(F.array(F.struct(heads.alias("headers"), "rowSet")).alias("resultSets"))).alias("payload"))
-    return payloads.players_from_index(docs, STAMP).drop("created_at")
+    return payloads.players_from_index(docs, _stamp()).drop("created_at")
 
 
 def src_betting_odds(spark, d):
@@ -79,7 +82,7 @@ def src_betting_odds(spark, d):
     books = lambda o: F.array(*[F.struct(F.lit(b).alias("name"), o.alias("outcomes")) for b in ("BookA", "BookB")])
     markets = F.array(F.struct(F.lit("2way").alias("name"), books(two).alias("books")), F.struct(F.lit("total").alias("name"), books(total).alias("books")))
     docs = g.groupBy("game_date").agg(F.collect_list(F.struct(i.cast("string").alias("gameId"), markets.alias("markets"))).alias("games"))
-    return payloads.betting_odds(docs.select(F.to_json(F.struct("games")).alias("payload")), STAMP).drop("captured_at")
+    return payloads.betting_odds(docs.select(F.to_json(F.struct("games")).alias("payload")), _stamp()).drop("captured_at")
 
 
 def boxscore_docs(s: dict[str, DataFrame]) -> DataFrame:
@@ -99,11 +102,11 @@ def boxscore_docs(s: dict[str, DataFrame]) -> DataFrame:
 
 
 def src_boxscores(spark, d):
-    return payloads.player_boxscores(boxscore_docs(_stg(spark, d)), STAMP).drop("created_at")
+    return payloads.player_boxscores(boxscore_docs(_stg(spark, d)), _stamp()).drop("created_at")
 
 
 def src_team_boxscores(spark, d):
-    return payloads.team_boxscores(boxscore_docs(_stg(spark, d)), STAMP).filter("team_id is not null").drop("created_at")
+    return payloads.team_boxscores(boxscore_docs(_stg(spark, d)), _stamp()).filter("team_id is not null").drop("created_at")
 
 
 NAMES = {f"Team {i}": f"T{i}" for i in range(25)}
@@ -120,7 +123,7 @@ def pages_by_team(s: dict[str, DataFrame]) -> DataFrame:
     head = F.lit("<table><tr><th>NAME</th><th>STATUS</th><th>COMMENT</th></tr>")
     team = _reports(s).groupBy("capture_date", "team_name").agg(F.concat_ws("", F.collect_list(tr)).alias("rows"))
     sec = F.concat(F.lit('<div class="ResponsiveTable x"><div class="Table__Title">'), F.col("team_name"), F.lit("</div>"), head, F.col("rows"), F.lit("</table></div>"))
-    return team.groupBy("capture_date").agg(F.concat_ws("", F.collect_list(sec)).alias("html")).withColumn("captured_at", STAMP)
+    return team.groupBy("capture_date").agg(F.concat_ws("", F.collect_list(sec)).alias("html")).withColumn("captured_at", _stamp())
 
 
 def src_injuries_by_team(spark, d):
@@ -131,7 +134,7 @@ def src_injuries_by_row(spark, d):
     tr = F.concat(F.lit("<tr class='injury'><td>"), F.col("player_name"), F.lit("</td><td>"), F.col("team_abbrev"), F.lit("</td><td>"), F.col("status"),
                   F.lit("</td><td>knee injury no "), F.col("injury_id"), F.lit("</td></tr>"))
     pages = _reports(_stg(spark, d)).groupBy("capture_date").agg(F.concat_ws("", F.lit("<table>"), F.concat_ws("", F.collect_list(tr)), F.lit("</table>")).alias("html"))
-    return injury_pages.injuries_by_row(pages.withColumn("captured_at", STAMP), NAMES).drop("captured_at")
+    return injury_pages.injuries_by_row(pages.withColumn("captured_at", _stamp()), NAMES).drop("captured_at")
 
 
 def src_injuries_past_day(spark, d):
@@ -140,7 +143,7 @@ def src_injuries_past_day(spark, d):
 
 def src_page_tables(spark, d):
     """Reports on the given web pages: they hold no injury table, so each yields its marker."""
-    p = spark.read.parquet(f"{d}/pages.parquet").select("html", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 365).cast("int")).alias("capture_date"), STAMP.alias("captured_at"))
+    p = spark.read.parquet(f"{d}/pages.parquet").select("html", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 365).cast("int")).alias("capture_date"), _stamp().alias("captured_at"))
     return injury_pages.injuries_by_team(p).groupBy("capture_date", "team_abbrev", "status").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -153,7 +156,7 @@ def src_history_boxscores(spark, d):
                     (F.row_number().over(w) - 1).alias("row_no"), F.concat(F.lit(" Player "), "player_id").alias("Player"), F.concat(F.lit("3"), F.col("player_id") % 10, F.lit(":30")).alias("MP"),
                     F.col("points").cast("string").alias("PTS"), F.when(F.col("assists") > 0, F.col("assists").cast("string")).otherwise("-").alias("AST"), F.col("rebounds").alias("TRB"))
     names = b.select(F.concat(F.lit("Player "), "player_id").alias("player_name"), F.col("player_id").cast("long").alias("known_id")).filter("known_id % 2 = 0").distinct()
-    return history.history_boxscores(rows, names, STAMP).select(
+    return history.history_boxscores(rows, names, _stamp()).select(
         "game_id", "player_id", "game_date", "player_name", "team_id", "is_home", "is_starter", "minutes", "minutes_calculated", "points", "assists", "rebounds_total", "steals")
 
 
@@ -173,7 +176,7 @@ def src_bulk_player_stats(spark, d):
         F.when(F.col("team_id") % 2 == 0, F.concat(F.lit("City"), "team_id")).otherwise("Elsewhere").alias("playerteamCity"), F.concat(F.lit("Name"), "team_id").alias("playerteamName"),
         F.col("is_home").cast("int").alias("home"), F.col("minutes_played").alias("numMinutes"), "points", "assists", F.col("rebounds").alias("reboundsTotal"))
     teams = s["stg_teams"].select("team_id", F.concat(F.lit("Name"), "team_id").alias("team_name"), "team_abbreviation", F.concat(F.lit("City"), "team_id").alias("city"))
-    out = history.bulk_player_statistics(rows, teams, STAMP)
+    out = history.bulk_player_statistics(rows, teams, _stamp())
     return out.select("game_id", "player_id", "game_date", "player_name", "team_id", "is_home", "minutes", "minutes_calculated", "points", "assists", "rebounds_total", "steals")
 
 
@@ -187,17 +190,17 @@ def _transactions(s):
 
 
 def src_transactions(spark, d):
-    return history.transactions_to_injuries(_transactions(_stg(spark, d)), STAMP, True, NAMES).drop("captured_at", "player_espn_id")
+    return history.transactions_to_injuries(_transactions(_stg(spark, d)), _stamp(), True, NAMES).drop("captured_at", "player_espn_id")
 
 
 def src_transactions_recent(spark, d):
-    return history.transactions_to_injuries(_transactions(_stg(spark, d)), STAMP, False, NAMES).drop("captured_at", "player_espn_id")
+    return history.transactions_to_injuries(_transactions(_stg(spark, d)), _stamp(), False, NAMES).drop("captured_at", "player_espn_id")
 
 
 def src_mapped_csv(spark, d):
     g = _stg(spark, d)["stg_games"].select(F.col("game_id").alias("GAME_ID"), F.col("game_date").alias("GAME_DATE"), F.col("season").alias("SEASON"),
                                            F.col("home_team_id").alias("HOME_TEAM_ID"), F.col("away_team_id").alias("AWAY_TEAM_ID"), F.col("home_score").alias("HOME_SCORE"), F.col("away_score").alias("AWAY_SCORE"))
-    return history.mapped_csv(g, "games", STAMP).drop("created_at")
+    return history.mapped_csv(g, "games", _stamp()).drop("created_at")
 
 
 def src_csv_round_trip(spark, d):
@@ -221,7 +224,7 @@ def src_team_boxscores_from_players(spark, d):
 
 def src_contract_nulls(spark, d):
     """Raw games against their contract: NULLs in required columns."""
-    g = _stg(spark, d)["stg_games"].select("*", F.when(F.col("game_id") % 10 != 0, F.lit("Regular Season")).alias("season_type"), STAMP.alias("created_at"))
+    g = _stg(spark, d)["stg_games"].select("*", F.when(F.col("game_id") % 10 != 0, F.lit("Regular Season")).alias("season_type"), _stamp().alias("created_at"))
     return contracts.null_violations(contracts.conform(g, contracts.CONTRACTS["games"]), contracts.CONTRACTS["games"])
 
 
