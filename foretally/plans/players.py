@@ -155,7 +155,7 @@ def game_injuries(m: Models) -> DataFrame:
         return F.when(F.col("is_completed"), F.col(f"all_{c}") - nvl(f"on_{c}", 0))
 
     fallback = {
-        "star_players_out": missing("star"), "key_players_out": missing("key"), "injury_impact_score": F.round(missing("impact"), 9),
+        "star_players_out": missing("star"), "key_players_out": missing("key"), "injury_impact_score": F.round(missing("impact"), 11),
         "injured_players_count": missing("star") + missing("key"), "has_key_injury": flag(missing("star") + missing("key") > 0),
     }
     names = [*_INJURY_COUNTS, "injury_impact_score", "injured_players_count", "has_key_injury"]
