@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, mixing, packing, simhash
+from . import exact, mixing, packing, simhash, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hexadecimal("fp").alias("fingerprint"), "component_id")
@@ -29,7 +33,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_simhash, op6_exact_dedup, op8_mixing, op9_packing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op2_simhash, op6_exact_dedup, op8_mixing, op9_packing)}
 
 SQL: dict[str, str] = {}
 
