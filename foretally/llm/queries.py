@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, mixing, packing, simhash, toxicity
+from . import exact, language, mixing, packing, simhash, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.groups(table(spark, sf_dir, "documents"))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -33,7 +37,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op2_simhash, op6_exact_dedup, op8_mixing, op9_packing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op2_simhash, op6_exact_dedup, op7_language, op8_mixing, op9_packing)}
 
 SQL: dict[str, str] = {}
 
