@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact, language, mixing, multi_index, packing, simhash, toxicity
+from . import exact, language, mixing, multi_index, packing, repeats, simhash, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +26,11 @@ def op4_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.cut_texts(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("bytes", 256).alias("kept_sha256"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.groups(table(spark, sf_dir, "documents"))
 
@@ -41,7 +47,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op2_simhash, op4_multi_index, op6_exact_dedup, op7_language, op8_mixing, op9_packing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op2_simhash, op4_multi_index, op5_repeats, op6_exact_dedup, op7_language, op8_mixing, op9_packing)}
 
 SQL: dict[str, str] = {}
 
