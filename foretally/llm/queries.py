@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, language, mixing, multi_index, packing, repeats, simhash, toxicity
+from . import exact, language, lines, mixing, multi_index, packing, repeats, simhash, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hexadecimal("fp").alias("fingerprint"), "component_id")
 
 
+def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(table(spark, sf_dir, "documents"))
+
+
 def op4_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.nearest(table(spark, sf_dir, "embeddings"))
 
@@ -47,7 +51,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op2_simhash, op4_multi_index, op5_repeats, op6_exact_dedup, op7_language, op8_mixing, op9_packing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_lines, op4_multi_index, op5_repeats, op6_exact_dedup, op7_language, op8_mixing, op9_packing)}
 
 SQL: dict[str, str] = {}
 
