@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, language, lines, mixing, multi_index, packing, repeats, simhash, toxicity
+from . import exact, language, lines, mixing, multi_index, packing, repeats, secret_scan, simhash, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,7 +51,11 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_lines, op4_multi_index, op5_repeats, op6_exact_dedup, op7_language, op8_mixing, op9_packing)}
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents")).drop("label")
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_lines, op4_multi_index, op5_repeats, op6_exact_dedup, op7_language, op8_mixing, op9_packing, op10_secret_scan)}
 
 SQL: dict[str, str] = {}
 
