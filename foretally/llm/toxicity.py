@@ -56,7 +56,7 @@ def plain_word(word: str) -> tuple[str, bool]:
         return core, False
     letters = _SIGNS.sub("", core.translate(LOOKALIKES))
     known = _SIGNS.sub("", core)
-    return letters, bool(known) and len(letters) >= 3 and "://" not in core and sum(map(str.isdigit, core)) < len(known)
+    return letters, bool(known) and len(letters) >= 3 and "://" not in core and sum(map(str.isdigit, core)) <= 2 * len(known)
 
 
 @dataclass(frozen=True)
