@@ -102,12 +102,13 @@ def feature_view(spark, d):
 
 
 def _split(spark, d):
-    """Stored table, and a batch that updates a third of it, adds rows and repeats keys."""
+    """Stored table (all orders), and a batch of all orders that updates a third of the keys, adds the others as
+    new keys, and repeats every key once with an older or newer load."""
     g = _t(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", F.lit(0).alias("load_no"))
-    target = g.filter("o_orderkey % 4 <> 0")
-    batch = g.filter("o_orderkey % 3 = 0").withColumn("load_no", F.lit(1)).withColumn("o_totalprice", F.col("o_totalprice") + 1)
-    again = batch.filter("o_orderkey % 2 = 0").withColumn("load_no", F.lit(2)).withColumn("o_orderstatus", F.lit("X"))
-    return target, batch.unionByName(again)
+    key = F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderkey")).otherwise(-F.col("o_orderkey"))
+    batch = g.select(key.alias("o_orderkey"), "o_orderstatus", (F.col("o_totalprice") + 1).alias("o_totalprice"), F.lit(1).alias("load_no"))
+    again = batch.withColumn("load_no", F.when(F.col("o_orderkey") % 2 == 0, 2).otherwise(0)).withColumn("o_orderstatus", F.lit("X"))
+    return g, batch.unionByName(again)
 
 
 def wr_upsert(spark, d):
@@ -158,13 +159,13 @@ LINE_RULES = [
 
 
 def dq_lineitem_rules(spark, d):
-    return rules.check(_t(spark, d, "lineitem"), LINE_RULES, {"orders": _t(spark, d, "orders").filter("o_orderstatus <> 'P'")})
+    return rules.check(_t(spark, d, "lineitem"), LINE_RULES, {"orders": _t(spark, d, "orders").withColumn("o_orderkey", F.expr("case when o_orderstatus = 'P' then -o_orderkey else o_orderkey end"))})
 
 
 def dq_orders_rules(spark, d):
     return rules.check(_t(spark, d, "orders"), [
         rules.Rule("priority_format", "format", ("o_orderpriority",), pattern=r"^[1-3]-[A-Z]+"),
-        rules.Rule("customer_exists", "referential", ("o_custkey",), ref="customer", ref_columns=("c_custkey",))], {"customer": _t(spark, d, "customer").filter("c_nationkey <> 3")})
+        rules.Rule("customer_exists", "referential", ("o_custkey",), ref="customer", ref_columns=("c_custkey",))], {"customer": _t(spark, d, "customer").withColumn("c_custkey", F.expr("case when c_nationkey = 3 then -c_custkey else c_custkey end"))})
 
 
 def dq_game_rules(spark, d):
@@ -186,9 +187,12 @@ def dq_histogram(spark, d):
 
 
 def dq_drift(spark, d):
-    li = _t(spark, d, "lineitem")
-    a, b = (prof.profile(li.filter(c), PROFILED, exact_distinct=True) for c in ("l_returnflag = 'N'", "l_returnflag = 'R'"))
-    return prof.drift(a, b)
+    """The whole table against itself with larger quantities, lost discounts and constant prices for some flags."""
+    li = _t(spark, d, "lineitem").select("l_returnflag", *PROFILED)
+    later = li.withColumns({
+        "l_quantity": F.expr("case when l_returnflag = 'R' then l_quantity * 1.5D else l_quantity end"), "l_discount": F.expr("case when l_returnflag <> 'A' then l_discount end"),
+        "l_extendedprice": F.expr("case when l_returnflag = 'N' then 1000D else l_extendedprice end")})
+    return prof.drift(*(prof.profile(x, PROFILED, exact_distinct=True) for x in (li, later)))
 
 
 def dq_anomalies(spark, d):
@@ -202,7 +206,7 @@ def dq_freshness(spark, d):
 
 def dq_training_report(spark, d):
     m = _models(spark, d)
-    mart = m["mart_game_features"].filter("game_id % 7 <> 0")
+    mart = m["mart_game_features"]
     return reports.training_data_report(mart.select("game_id", "game_date", "home_win", "home_rest_days", "home_injury_impact_score"), m.games, "1996-10-01", ("home_rest_days", "home_injury_impact_score"))
 
 

@@ -218,7 +218,7 @@ def _registry(spark):
 
 def an_latest_model(spark, d):
     """Predictions of the newest active model."""
-    return _scored(spark, d).select("prediction_id", "model_id").join(F.broadcast(analysis.latest_model(_registry(spark))), "model_id")
+    return _scored(spark, d).select("prediction_id", "model_id").join(analysis.latest_model(_registry(spark)), "model_id")
 
 
 def an_compare_versions(spark, d):
@@ -240,6 +240,11 @@ def an_matchup_report(spark, d):
     return analysis.matchup_report(_m(spark, d).tg, (3, 7), "1999-06-01")
 
 
+def an_key_players(spark, d):
+    m = _m(spark, d)
+    return analysis.key_players(m.games, m["stg_player_boxscores"], (3, 7), "1999-03-02", 12.0)
+
+
 def an_against_history(spark, d):
     rows = _training(spark, d)[0]
     return analysis.against_history(rows, CORRELATED, rows.filter("game_date = date '1999-03-01'"))
@@ -262,4 +267,4 @@ QUERIES = {f.__name__: f for f in (
     ml_training_rows, ml_interactions, ml_split_by_day, ml_split_by_time, ml_split_random, ml_sample_weights, ml_train_boosted, ml_train_forest, ml_class_report, ml_importances,
     ml_select_features, ml_stacking, ml_platt, ml_isotonic, ml_calibration_bins, ml_calibration_error, ml_games_to_score, ml_scored, ml_evaluation, ml_store_outcomes,
     ml_correlated_pairs, ml_target_correlation, ml_removal_advice, ml_contributions, ml_mean_contributions, ml_permutation, an_prediction_errors, an_wrong_by_injury,
-    an_upset_types, an_latest_model, an_compare_versions, an_latest_odds, an_matchup_report, an_against_history, an_injury_list, an_injury_bands, an_injury_distribution)}
+    an_upset_types, an_latest_model, an_compare_versions, an_latest_odds, an_matchup_report, an_key_players, an_against_history, an_injury_list, an_injury_bands, an_injury_distribution)}

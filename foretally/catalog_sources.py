@@ -6,6 +6,8 @@ test tables with Spark, then read back by the ingestion functions.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -205,7 +207,7 @@ def src_mapped_csv(spark, d):
 
 def src_csv_round_trip(spark, d):
     g = src_games(spark, d)
-    path = f"{shared_dir(spark)}/csv-{abs(hash(d)) % 10**8}"
+    path = f"{shared_dir(spark)}/csv-{uuid.uuid4().hex}"
     tables.export_csv(g, path)
     return tables.import_csv(spark, path, g.schema)
 

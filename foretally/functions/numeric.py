@@ -15,7 +15,7 @@ def half_up_sql(c: str, digits: int) -> str:
     """Expression text of `half_up`."""
     step = 10 ** (9 - digits)
     k = f"((floor(abs({c}) * 1e9D + 0.5D) + {step // 2}L) div {step}L)"
-    return f"(case when abs({c}) >= 1e9D then {c} when {c} < 0 then -{k} / {10**digits}D else {k} / {10**digits}D end)"
+    return f"(case when abs({c}) >= 1e9D then round({c}, {digits}) when {c} < 0 then -{k} / {10**digits}D else {k} / {10**digits}D end)"
 
 
 def half_up(c: str | Column, digits: int) -> Column:
@@ -23,13 +23,14 @@ def half_up(c: str | Column, digits: int) -> Column:
 
     Nine decimals remove binary noise (1.005 is stored as 1.00499...), so a value
     rounds the same way whatever order it was summed in. The work is long
-    arithmetic inside generated code; magnitudes of 1e9 and more stay as they are.
+    arithmetic inside generated code; from 1e9 on a double holds no ninth decimal,
+    and its own decimal digits are rounded half up.
     """
     x = col(c).cast("double")
     step = 10 ** (9 - digits)
     k = F.call_function("div", F.floor(F.abs(x) * 1e9 + 0.5) + F.lit(step // 2).cast("long"), F.lit(step).cast("long"))
     scaled = F.when(x < 0, -k).otherwise(k) / float(10**digits)
-    return F.when(F.abs(x) >= 1e9, x).otherwise(scaled)
+    return F.when(F.abs(x) >= 1e9, F.round(x, digits)).otherwise(scaled)
 
 
 def ratio(num: str | Column, den: str | Column) -> Column:

@@ -61,15 +61,12 @@ def mean_contributions(contributions: DataFrame, groups: DataFrame | None = None
     return c.groupBy(by).agg(F.avg(F.abs("contribution")).alias("mean_abs_contribution"), F.avg("contribution").alias("mean_contribution"))
 
 
-def latest_rows(df: DataFrame, n: int) -> DataFrame:
-    """The n most recent games (a top-k report)."""
-    return df.orderBy(F.desc("game_date"), F.desc("game_id")).limit(n)
+def permuted(df: DataFrame, column: str, groups: int = 64, seed: int = 1) -> DataFrame:
+    """Mix a column between rows: values move one place in hash order inside each of `groups` hash groups.
 
-
-def permuted(df: DataFrame, column: str, rows_per_group: int = 100_000, seed: int = 1) -> DataFrame:
-    """Mix a column between rows: values move one place inside hash groups of bounded size."""
-    n = max(1, -(-df.count() // rows_per_group))
-    grp = F.pmod(F.xxhash64("game_id", F.lit(seed)), F.lit(n))
+    The same rows move in the same way however many others there are; raise `groups` with the cluster.
+    """
+    grp = F.pmod(F.xxhash64("game_id", F.lit(seed)), F.lit(groups))
     w = Window.partitionBy("_g").orderBy(F.xxhash64("game_id", F.lit(seed + 1)), "game_id")
     shifted = F.coalesce(F.lag(column).over(w), F.last(column).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
     return df.withColumn("_g", grp).withColumn(column, shifted).drop("_g")
@@ -86,10 +83,6 @@ def permutation_importance(predict, df: DataFrame, features: list[str]) -> DataF
     return with_scalars(out.filter("feature <> '_none'"), base).select("feature", (F.col("_base") - F.col("acc")).alias("importance"))
 
 
-def importance_matrix_report(pairs: DataFrame) -> DataFrame:
-    return pairs.groupBy("feature_1").agg(F.count(F.lit(1)).alias("partners"), F.max("correlation").alias("strongest"))
-
-
 # Reports ------------------------------------------------------------------------------
 
 
@@ -152,14 +145,24 @@ def latest_odds(odds: DataFrame, market: str = "2way", stake: float = 10.0) -> D
 
 
 def matchup_report(tg: DataFrame, pair: tuple[int, int], before: str, n: int = 10) -> DataFrame:
-    """Last n results of both teams before a day and their record in those games (a top-k report)."""
+    """Last n results of both teams before a day with their record in those games (a top-k report), and all
+    meetings of the two before that day with how many each won."""
     rows = tg.filter(F.col("team_id").isin(*pair) & (F.col("game_date") < F.lit(before).cast("date")))
     k = F.row_number().over(Window.partitionBy("team_id").orderBy(F.desc("game_date"), F.desc("game_id")))
     last = rows.withColumn("k", k).filter(F.col("k") <= n)
     day = F.lit(before).cast("date")
-    return last.groupBy("team_id").agg(
-        F.count(F.lit(1)).alias("games"), F.sum("is_win").alias("wins"), F.avg("margin").alias("avg_margin"), F.datediff(day, F.max("game_date")).alias("rest_days"),
-        F.count_if(F.col("opp_id").isin(*pair)).alias("head_to_head"))
+    recent = last.groupBy("team_id").agg(
+        F.count(F.lit(1)).alias("games"), F.sum("is_win").alias("wins"), F.avg("margin").alias("avg_margin"), F.datediff(day, F.max("game_date")).alias("rest_days"))
+    met = rows.filter(F.col("opp_id").isin(*pair)).groupBy("team_id").agg(F.count(F.lit(1)).alias("_met"), F.sum("is_win").alias("_won"))
+    return recent.join(met, "team_id", "left").select("*", nvl("_met", 0).alias("head_to_head"), nvl("_won", 0).alias("head_to_head_wins")).drop("_met", "_won")
+
+
+def key_players(games: DataFrame, box: DataFrame, pair: tuple[int, int], before: str, minutes: float = 30.0) -> DataFrame:
+    """Players of both teams with more than `minutes` in a game of the day before."""
+    day = F.date_sub(F.lit(before).cast("date"), 1)
+    asked = games.filter((F.col("game_date") == day) & (F.col("home_team_id").isin(*pair) | F.col("away_team_id").isin(*pair))).select("game_id")
+    long = box.filter(F.col("team_id").isin(*pair) & (F.col("minutes_played") > minutes))
+    return long.join(asked, "game_id").select("game_id", "team_id", "player_id", "minutes_played")
 
 
 def against_history(df: DataFrame, features: list[str], row: DataFrame) -> DataFrame:

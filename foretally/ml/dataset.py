@@ -40,26 +40,29 @@ def dense_rows(df: DataFrame, features: list[str], max_missing: float = 0.15) ->
     return kept.select(*[number(c) if c in features else F.col(c) for c in df.columns])
 
 
-# Interaction -> (inputs, expression); made only when all inputs exist.
+# Published interaction -> (inputs, expression); made only when all inputs exist.
 INTERACTIONS: dict[str, tuple[tuple[str, ...], str]] = {
-    "momentum_x_h2h": (("home_momentum_score", "away_momentum_score", "home_h2h_win_pct"), "(home_momentum_score - away_momentum_score) * home_h2h_win_pct"),
-    "form_divergence_x_home_advantage": (("home_form_divergence", "away_form_divergence", "home_advantage"), "(home_form_divergence - away_form_divergence) * home_advantage"),
-    "momentum_x_rest": (("home_momentum_score", "away_momentum_score", "rest_advantage"), "(home_momentum_score - away_momentum_score) * rest_advantage"),
-    "win_pct_diff_x_h2h": (("win_pct_diff_10", "home_h2h_win_pct"), "win_pct_diff_10 * home_h2h_win_pct"),
-    "form_divergence_x_rest": (("home_form_divergence", "away_form_divergence", "rest_advantage"), "(home_form_divergence - away_form_divergence) * rest_advantage"),
-    "injury_impact_x_rest": (("injury_impact_diff", "rest_advantage"), "injury_impact_diff * rest_advantage"),
-    "injury_impact_x_home_advantage": (("injury_impact_diff", "home_advantage"), "injury_impact_diff * home_advantage"),
-    "injury_impact_x_win_pct_diff": (("injury_impact_diff", "win_pct_diff_10"), "injury_impact_diff * win_pct_diff_10"),
-    "form_divergence_x_win_pct_diff": (("home_form_divergence", "away_form_divergence", "win_pct_diff_10"), "(home_form_divergence - away_form_divergence) * win_pct_diff_10"),
-    "momentum_x_win_pct_diff": (("home_momentum_score", "away_momentum_score", "win_pct_diff_10"), "(home_momentum_score - away_momentum_score) * win_pct_diff_10"),
-    "win_pct_diff_x_home_opp_quality": (("win_pct_diff_10", "home_recent_opp_avg_win_pct"), "win_pct_diff_10 * home_recent_opp_avg_win_pct"),
-    "win_pct_diff_x_away_opp_quality": (("win_pct_diff_10", "away_recent_opp_avg_win_pct"), "win_pct_diff_10 * away_recent_opp_avg_win_pct"),
-    "win_pct_diff_x_rest": (("win_pct_diff_10", "rest_advantage"), "win_pct_diff_10 * rest_advantage"),
-    "net_rtg_diff_x_home_advantage": (("net_rtg_diff_10", "home_advantage"), "net_rtg_diff_10 * home_advantage"),
-    "net_rtg_diff_x_rest": (("net_rtg_diff_10", "rest_advantage"), "net_rtg_diff_10 * rest_advantage"),
-    "fg_pct_diff_x_win_pct_diff": (("fg_pct_diff_5", "win_pct_diff_10"), "fg_pct_diff_5 * win_pct_diff_10"),
-    "fg_pct_diff_x_rest": (("fg_pct_diff_5", "rest_advantage"), "fg_pct_diff_5 * rest_advantage"),
-    "off_def_rtg_interaction": (("off_rtg_diff_10", "def_rtg_diff_10"), "off_rtg_diff_10 * def_rtg_diff_10"),
+    "momentum_score_diff_x_h2h_win_pct": (("home_momentum_score", "away_momentum_score", "home_h2h_win_pct"), "(home_momentum_score - away_momentum_score) * home_h2h_win_pct"),
+    "form_divergence_diff_x_home_advantage": (("home_form_divergence", "away_form_divergence", "home_advantage"), "(home_form_divergence - away_form_divergence) * home_advantage"),
+    "momentum_score_diff_x_rest_advantage": (("home_momentum_score", "away_momentum_score", "rest_advantage"), "(home_momentum_score - away_momentum_score) * rest_advantage"),
+    "win_pct_diff_10_x_h2h_win_pct": (("win_pct_diff_10", "home_h2h_win_pct"), "win_pct_diff_10 * home_h2h_win_pct"),
+    "form_divergence_diff_x_rest_advantage": (("home_form_divergence", "away_form_divergence", "rest_advantage"), "(home_form_divergence - away_form_divergence) * rest_advantage"),
+    "injury_impact_diff_x_rest_advantage": (("injury_impact_diff", "rest_advantage"), "injury_impact_diff * rest_advantage"),
+    "injury_impact_diff_x_home_advantage": (("injury_impact_diff", "home_advantage"), "injury_impact_diff * home_advantage"),
+    "injury_impact_diff_x_win_pct_diff_10": (("injury_impact_diff", "win_pct_diff_10"), "injury_impact_diff * win_pct_diff_10"),
+    "form_divergence_diff_x_win_pct_diff_10": (("home_form_divergence", "away_form_divergence", "win_pct_diff_10"), "(home_form_divergence - away_form_divergence) * win_pct_diff_10"),
+    "momentum_score_diff_x_win_pct_diff_10": (("home_momentum_score", "away_momentum_score", "win_pct_diff_10"), "(home_momentum_score - away_momentum_score) * win_pct_diff_10"),
+    "win_pct_diff_10_x_home_recent_opp_avg_win_pct": (("win_pct_diff_10", "home_recent_opp_avg_win_pct"), "win_pct_diff_10 * home_recent_opp_avg_win_pct"),
+    "win_pct_diff_10_x_away_recent_opp_avg_win_pct": (("win_pct_diff_10", "away_recent_opp_avg_win_pct"), "win_pct_diff_10 * away_recent_opp_avg_win_pct"),
+    "win_pct_diff_10_x_rest_advantage": (("win_pct_diff_10", "rest_advantage"), "win_pct_diff_10 * rest_advantage"),
+    "form_divergence_diff_x_recent_opp_avg_win_pct_diff": (
+        ("home_form_divergence", "away_form_divergence", "home_recent_opp_avg_win_pct", "away_recent_opp_avg_win_pct"),
+        "(home_form_divergence - away_form_divergence) * (home_recent_opp_avg_win_pct - away_recent_opp_avg_win_pct)"),
+    "net_rtg_diff_10_x_home_advantage": (("net_rtg_diff_10", "home_advantage"), "net_rtg_diff_10 * home_advantage"),
+    "net_rtg_diff_10_x_rest_advantage": (("net_rtg_diff_10", "rest_advantage"), "net_rtg_diff_10 * rest_advantage"),
+    "fg_pct_diff_5_x_win_pct_diff_10": (("fg_pct_diff_5", "win_pct_diff_10"), "fg_pct_diff_5 * win_pct_diff_10"),
+    "fg_pct_diff_5_x_rest_advantage": (("fg_pct_diff_5", "rest_advantage"), "fg_pct_diff_5 * rest_advantage"),
+    "off_rtg_diff_10_x_def_rtg_diff_10": (("off_rtg_diff_10", "def_rtg_diff_10"), "off_rtg_diff_10 * def_rtg_diff_10"),
 }
 
 

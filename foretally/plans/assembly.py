@@ -10,6 +10,10 @@ from ..operators.entity_rows import filled, to_game_rows
 from .registry import Models, model
 
 IDS = ["game_id", "game_date", "home_team_id", "away_team_id"]
+AT_ONCE = 3
+
+# Features whose name holds one of the words below and whose published default is a half all the same.
+HALF = {f"{side}_{name}" for side in ("home", "away") for name in ("win_pct_vs_similar_momentum", "win_pct_with_rest_advantage")}
 
 # Words in a feature name that decide its neutral value, first match counts.
 NEUTRAL = [
@@ -25,6 +29,8 @@ def neutral(name: str, kind: T.DataType):
         return False
     if not isinstance(kind, (T.DoubleType, T.FloatType)):
         return 30 if name.endswith("playoff_rank") else 0
+    if name in HALF:
+        return 0.5
     if name.endswith("_underdog_win_pct") or name == "underdog_win_pct":
         return 0.3
     for words, value in NEUTRAL:
@@ -33,11 +39,21 @@ def neutral(name: str, kind: T.DataType):
     return 0.0
 
 
-def join_on_game(games: DataFrame, parts: list[DataFrame]) -> DataFrame:
-    """Left joins on game_id only; every part comes hashed by game_id, so rows move once."""
+def join_on_game(m: Models, parts: list[DataFrame]) -> DataFrame:
+    """Left joins on game_id only; every part comes hashed by game_id, so rows move once.
+
+    Every join in a stage keeps sort buffers per task, so at most `AT_ONCE` parts are joined in one; what they give is
+    written before the next ones, and the written pieces are joined last.
+    """
+    games, pieces = m.games, []
+    for at in range(0, len(parts), AT_ONCE):
+        piece = games.select("game_id")
+        for p in parts[at : at + AT_ONCE]:
+            piece = piece.join(p, "game_id", "left")
+        pieces.append(m.written(piece, "piece") if len(parts) > AT_ONCE else piece)
     out = games.select(*IDS)
-    for p in parts:
-        out = out.join(p, "game_id", "left")
+    for piece in pieces:
+        out = out.join(piece, "game_id", "left")
     return out.selectExpr(*IDS, *[
         f"{filled(f.name, neutral(f.name, f.dataType))} as `{f.name}`" for f in out.schema.fields if f.name not in IDS])
 
@@ -64,12 +80,12 @@ BASIC = ("int_team_streaks", "int_team_streak_qual", "int_team_rest_days", "int_
 
 @model("int_momentum_group_basic", table=True)
 def group_basic(m: Models) -> DataFrame:
-    return join_on_game(m.games, [from_model(m, n, ("win_streak_length_diff",)) for n in BASIC])
+    return join_on_game(m, [from_model(m, n, ("win_streak_length_diff",)) for n in BASIC])
 
 
 @model("int_momentum_group_h2h", table=True)
 def group_h2h(m: Models) -> DataFrame:
-    return join_on_game(m.games, [
+    return join_on_game(m, [
         from_model(m, "int_team_h2h_stats", ("home_h2h_wins", "away_h2h_wins", "h2h_total_games")),
         from_model(m, "int_team_rivalry_ind"), from_model(m, "int_team_opp_specific_perf")])
 
@@ -83,7 +99,7 @@ OPPONENT_DIFFS = {f"{c}_diff": c for c in (
 
 @model("int_momentum_group_opponent", table=True)
 def group_opponent(m: Models) -> DataFrame:
-    out = join_on_game(m.games, [from_model(m, n, ("home_rest_bucket", "away_rest_bucket")) for n in OPPONENT])
+    out = join_on_game(m, [from_model(m, n, ("home_rest_bucket", "away_rest_bucket")) for n in OPPONENT])
     return with_diffs(out, OPPONENT_DIFFS)
 
 
@@ -109,7 +125,7 @@ def group_context(m: Models) -> DataFrame:
     race = m.games.select("game_id", "game_date", side.alias("s")).select("game_id", "game_date", "s.*").join(
         m["int_team_playoff_ctx"], ["game_date", "team_id"]).withColumnsRenamed(RACE)
     parts.append(to_game_rows(m.games, race, {a: None for a in RACE.values()}, keep=("game_id",)))
-    return with_diffs(join_on_game(m.games, parts), CONTEXT_DIFFS)
+    return with_diffs(join_on_game(m, parts), CONTEXT_DIFFS)
 
 
 DIVERGENCE = {**{f"form_divergence_{k}_{n}": f"{k}_divergence_{n}" for k in ("win_pct", "net_rtg", "ppg", "opp_ppg") for n in (5, 10)},
@@ -132,7 +148,7 @@ def group_trends(m: Models) -> DataFrame:
         from_sides(m, "int_team_perf_accel", {c: c for c in ACCEL}),
         *[from_model(m, n, ("rest_combination_key",)) for n in TRENDS],
     ]
-    return with_diffs(join_on_game(m.games, parts), TREND_DIFFS)
+    return with_diffs(join_on_game(m, parts), TREND_DIFFS)
 
 
 GROUPS = tuple(f"int_momentum_group_{g}" for g in ("basic", "h2h", "opponent", "context", "trends"))

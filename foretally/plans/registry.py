@@ -7,7 +7,6 @@ read back, so plans stay small and a lost executor costs one stage, not a chain.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from functools import cached_property
@@ -34,21 +33,25 @@ def model(name: str, table: bool = False):
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors can reach; a temporary one only in local mode."""
+    """Folder all executors can reach, from the session's settings; a fixed local one only where the master is local."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        path = tempfile.mkdtemp(prefix="foretally-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path
+        path = "file:/tmp/foretally-scratch"
+    return path.rstrip("/")
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def write_table(df: DataFrame, spark: SparkSession, name: str, root: str | None = None) -> DataFrame:
     """Write a frame under the shared folder and return it as a fresh scan."""
     path = f"{root or shared_dir(spark)}/{name}-{uuid.uuid4().hex[:8]}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 class Models:
@@ -63,6 +66,18 @@ class Models:
         self.start, self.end, self.as_of = start, end, as_of
         self.inputs = {k: self._cut(v) for k, v in inputs.items()}
         self._built: dict[str, DataFrame] = {}
+        self._root: str | None = None
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        """The frame as a table of this graph, which `close` deletes."""
+        self._root = self._root or f"{shared_dir(self.spark)}/foretally-{uuid.uuid4().hex}"
+        return write_table(df, self.spark, name, self._root)
+
+    def close(self) -> None:
+        """Delete all tables of the graph; frames that read them cannot be used any more."""
+        if self._root:
+            remove_folder(self.spark, self._root)
+        self._root, self._built = None, {}
 
     def _cut(self, df: DataFrame) -> DataFrame:
         if self.end is None or "game_date" not in df.columns:
@@ -78,7 +93,7 @@ class Models:
             return self.inputs[name]
         if name not in self._built:
             df = _BUILDERS[name](self)
-            self._built[name] = write_table(df, self.spark, name) if name in _TABLES else df
+            self._built[name] = self.written(df, name) if name in _TABLES else df
         return self._built[name]
 
     def output(self, name: str) -> DataFrame:

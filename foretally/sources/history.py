@@ -101,8 +101,8 @@ def bulk_player_statistics(rows: DataFrame, teams: DataFrame, created_at: Column
     """Bulk player statistics file to raw box-score rows with load columns."""
     names = team_names(teams)
     r = rows.withColumn("_full", full_name("playerteamCity", "playerteamName"))
-    r = r.join(F.broadcast(names.withColumnsRenamed({"name": "_full", "team_id": "_a"})), "_full", "left")
-    r = r.join(F.broadcast(names.withColumnsRenamed({"name": "playerteamName", "team_id": "_b"})), "playerteamName", "left")
+    r = r.join(names.withColumnsRenamed({"name": "_full", "team_id": "_a"}), "_full", "left")
+    r = r.join(names.withColumnsRenamed({"name": "playerteamName", "team_id": "_b"}), "playerteamName", "left")
     minutes = nvl(F.col("numMinutes").try_cast("double"), 0.0)
     out = r.select(
         F.col("gameId").cast("string").alias("game_id"), F.col("personId").cast("long").alias("player_id"),

@@ -85,7 +85,8 @@ def injuries_by_team(pages: DataFrame, names: dict[str, str] | None = None) -> D
                        lambda tr: ~tr.rlike(r"(?i)<th\b") & (F.size(F.regexp_extract_all(tr, F.lit(CELL), 1)) >= 3))
         return F.when(team != "", F.transform(trs, lambda tr: row(team, tr))).otherwise(F.array())
 
-    sections = F.slice(F.split("html", SECTION), 2, 1_000_000)
+    parts = F.split("html", SECTION)
+    sections = F.slice(parts, F.lit(2), F.size(parts))
     return _with_marker(pages, F.flatten(F.transform(sections, section)), "NO_INJURIES")
 
 

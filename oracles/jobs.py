@@ -32,9 +32,9 @@ SQL["pair_rows"] = f"""select least(home_team_id, away_team_id) as lo_id, greate
 SQL["entity_rows"] = "select *, true as is_completed from tg"
 SQL["feature_view"] = """select g.game_id, g.home_team_id as team_id, g.game_date, q.rolling_5_ppg, q.rolling_10_win_pct, q.rolling_10_net_rtg, q.wins_last_5 from games g left join lateral (select * from int_team_rolling_stats q where q.team_id = g.home_team_id and q.game_date <= g.game_date order by q.game_date desc, q.game_id desc limit 1) q on g.game_date - q.game_date <= 365"""
 
-cte("wt", "select o_orderkey, o_orderstatus, o_totalprice, 0 as load_no from orders where o_orderkey % 4 <> 0")
-cte("wb1", "select o_orderkey, o_orderstatus, o_totalprice + 1 as o_totalprice, 1 as load_no from orders where o_orderkey % 3 = 0")
-cte("wb", "select * from wb1 union all select o_orderkey, 'X', o_totalprice, 2 from wb1 where o_orderkey % 2 = 0")
+cte("wt", "select o_orderkey, o_orderstatus, o_totalprice, 0 as load_no from orders")
+cte("wb1", "select case when o_orderkey % 3 = 0 then o_orderkey else -o_orderkey end as o_orderkey, o_orderstatus, o_totalprice + 1 as o_totalprice, 1 as load_no from orders")
+cte("wb", "select * from wb1 union all select o_orderkey, 'X', o_totalprice, case when o_orderkey % 2 = 0 then 2 else 0 end from wb1")
 cte("wbl", "select * from wb qualify row_number() over (partition by o_orderkey order by load_no desc) = 1")
 SQL["wr_upsert"] = "select * from wt where o_orderkey not in (select o_orderkey from wb) union all select * from wbl"
 SQL["wr_append_new"] = "select * from wt union all select * from wbl where o_orderkey not in (select o_orderkey from wt)"
@@ -59,21 +59,23 @@ SQL["dq_lineitem_rules"] = " union all ".join([
     _rule("ship_not_null", "not_null", "lineitem", "l_shipdate is null or l_orderkey is null"), _rule("discount_range", "range", "lineitem", "l_discount < 0 or l_discount > 0.08"),
     _rule("quantity_min", "range", "lineitem", "l_quantity < 3"), _rule("flag_values", "enum", "lineitem", "l_returnflag not in ('A', 'N')"),
     _uniq("line_key", "lineitem", "l_orderkey, l_linenumber"), _uniq("part_key", "lineitem", "l_partkey"),
-    _rule("order_exists", "referential", "lineitem", "l_orderkey not in (select o_orderkey from orders where o_orderstatus <> 'P')")])
+    _rule("order_exists", "referential", "lineitem", "l_orderkey not in (select case when o_orderstatus = 'P' then -o_orderkey else o_orderkey end from orders)")])
 SQL["dq_orders_rules"] = " union all ".join([
-    _rule("priority_format", "format", "orders", "not regexp_matches(o_orderpriority, '^[1-3]-[A-Z]+')"), _rule("customer_exists", "referential", "orders", "o_custkey not in (select c_custkey from customer where c_nationkey <> 3)")])
+    _rule("priority_format", "format", "orders", "not regexp_matches(o_orderpriority, '^[1-3]-[A-Z]+')"), _rule("customer_exists", "referential", "orders", "o_custkey not in (select case when c_nationkey = 3 then -c_custkey else c_custkey end from customer)")])
 SQL["dq_game_rules"] = " union all ".join([_rule("score_range", "range", "games", "coalesce(home_score < 85 or home_score > 135, false)"), _rule("winner_set", "not_null", "games", "winner_team_id is null"), _uniq("game_key", "games", "game_id")])
 _P = ("l_quantity", "l_extendedprice", "l_discount", "l_linenumber")
 
 
-def _prof(where):
-    return " union all ".join(f"select count(*) as rows, '{c}' as column_name, count(*) - count({c}) as nulls, count(distinct {c}) as distinct_values, avg({c}) as mean, stddev_samp({c}) as stddev from lineitem where {where}" for c in _P)
+def _prof(table):
+    return " union all ".join(f"select count(*) as rows, '{c}' as column_name, count(*) - count({c}) as nulls, count(distinct {c}) as distinct_values, avg({c}) as mean, stddev_samp({c}) as stddev from {table}" for c in _P)
 
 
-SQL["dq_profile"] = f"select rows, column_name, nulls, distinct_values, {r('mean')} as mean, {r('stddev')} as stddev from ({_prof('true')})"
+SQL["dq_profile"] = f"select rows, column_name, nulls, distinct_values, {r('mean')} as mean, {r('stddev')} as stddev from ({_prof('lineitem')})"
 SQL["dq_histogram"] = f"""select b as bin, {r('any_value(lo + b * w)')} as bin_start, count(*) as n from (select lo, w, cast(least(floor((l_extendedprice - lo) / w), 9) as int) as b from lineitem, (select min(l_extendedprice) as lo, (max(l_extendedprice) - min(l_extendedprice)) / 10 as w from lineitem)) group by b"""
-cte("pn", _prof("l_returnflag = 'N'"))
-cte("pr", _prof("l_returnflag = 'R'"))
+cte("later_lines", """select case when l_returnflag = 'R' then l_quantity * 1.5::double else l_quantity end as l_quantity, case when l_returnflag <> 'A' then l_discount end as l_discount,
+ case when l_returnflag = 'N' then 1000::double else l_extendedprice end as l_extendedprice, l_linenumber from lineitem""")
+cte("pn", _prof("lineitem"))
+cte("pr", _prof("later_lines"))
 cte("drift0", " union all ".join(f"select pn.column_name, '{m}' as metric, pn.{m}::double as before, pr.{m}::double as after from pn join pr using (column_name)" for m in ("mean", "nulls", "distinct_values")))
 cte("drift1", "select *, case when before = 0 and after <> 0 then 100.0 when before = 0 then 0.0 else abs((after - before) * 100.0 / abs(before)) end as change_pct from drift0")
 SQL["dq_drift"] = f"""select column_name, metric, {r('before')} as before, {r('after')} as after, {r('change_pct')} as change_pct, case when change_pct >= 30 then 'high' when change_pct >= 15 then 'medium' when change_pct >= 5 then 'low' else 'none' end as severity from drift1"""
@@ -91,8 +93,8 @@ def _long(one, cols):
 
 
 SQL["dq_training_report"] = _long("""select min(p.game_date) as first_day, max(p.game_date) as last_day, count(*) as rows, count(*) filter (where p.game_date >= date '1996-10-01') as trainable_rows, 5 as columns,
- round(avg((d.home_rest_days = 0)::int), 6) as empty_share_home_rest_days, round(avg((i.home_injury_impact_score = 0)::int), 6) as empty_share_home_injury_impact_score, (select count(*) from played where game_id % 7 = 0) as games_missing
- from played p join int_team_rest_days d on d.game_id = p.game_id join int_game_injury_features i on i.game_id = p.game_id where p.game_id % 7 <> 0""",
+ round(avg((d.home_rest_days = 0)::int), 6) as empty_share_home_rest_days, round(avg((i.home_injury_impact_score = 0)::int), 6) as empty_share_home_injury_impact_score, 0 as games_missing
+ from played p join int_team_rest_days d on d.game_id = p.game_id join int_game_injury_features i on i.game_id = p.game_id""",
     ("first_day", "last_day", "rows", "trainable_rows", "columns", "empty_share_home_rest_days", "empty_share_home_injury_impact_score", "games_missing"))
 SQL["dq_rows_per_year"] = "select year(game_date) as year, count(*) as rows from played group by 1"
 SQL["dq_raw_load_report"] = _long("""select count(*) as games, min(game_date) as first_game, max(game_date) as last_game, (select count(*) from v_player_boxscores) as box_rows, (select count(*) from v_injuries) as injury_rows, (select count(distinct capture_date) from v_injuries) as capture_days,

@@ -19,8 +19,8 @@ cte("trn", f"""select game_id, game_date, home_win, home_score, away_score, {',
  where game_date >= date '1995-06-01' and game_date < date '2001-06-01' and home_win is not null and ({_MISS}) / {float(len(_FEATS))} <= 0.15""")
 SQL["ml_training_rows"] = f"select game_id, game_date, home_win, home_score, away_score, {', '.join(f'{r(c)} as {c}' for c in _FEATS)} from trn"
 _X = {"win_pct_diff_10": "win_pct_diff_10", "net_rtg_diff_10": "net_rtg_diff_10", "off_rtg_diff_10": "off_rtg_diff_10", "def_rtg_diff_10": "def_rtg_diff_10", "rest_advantage": "rest_advantage", "injury_impact_diff": "injury_impact_diff",
-      "home_rolling_5_apg": "home_injury_impact_score", "home_rolling_5_possessions": "away_rest_days", "injury_impact_x_rest": "injury_impact_diff * rest_advantage", "injury_impact_x_win_pct_diff": "injury_impact_diff * win_pct_diff_10",
-      "win_pct_diff_x_rest": "win_pct_diff_10 * rest_advantage", "net_rtg_diff_x_rest": "net_rtg_diff_10 * rest_advantage", "off_def_rtg_interaction": "off_rtg_diff_10 * def_rtg_diff_10",
+      "home_rolling_5_apg": "home_injury_impact_score", "home_rolling_5_possessions": "away_rest_days", "injury_impact_diff_x_rest_advantage": "injury_impact_diff * rest_advantage", "injury_impact_diff_x_win_pct_diff_10": "injury_impact_diff * win_pct_diff_10",
+      "win_pct_diff_10_x_rest_advantage": "win_pct_diff_10 * rest_advantage", "net_rtg_diff_10_x_rest_advantage": "net_rtg_diff_10 * rest_advantage", "off_rtg_diff_10_x_def_rtg_diff_10": "off_rtg_diff_10 * def_rtg_diff_10",
       "home_rolling_5_assist_rate": "coalesce(100.0 * home_injury_impact_score / nullif(away_rest_days, 0), 0.0)"}
 SQL["ml_interactions"] = "select game_id, " + ", ".join(f"{r(e)} as {n}" for n, e in _X.items()) + " from trn"
 SQL["ml_split_by_day"] = "select game_id, game_date, case when game_date < date '2000-01-01' then 'train' else 'test' end as part from trn"
@@ -77,8 +77,12 @@ SQL["an_compare_versions"] = f"select game_id, 2 as versions, case when game_id
 cte("odds", "select cast(game_id as varchar) as game_id, 'BookA' as book_name, 1 + game_id % 7 * 0.25::double as home_odds, (1 + game_id % 5 * 0.5::double) * case when game_id % 3 = 0 then 100 when game_id % 3 = 1 then -100 else 1 end as away_odds from v_games")
 SQL["an_latest_odds"] = f"""select *, {r('case when away_odds > 0 and away_odds < 10 then 10 * away_odds - 10 when away_odds > 0 then 10 * away_odds / 100 else 1000 / abs(away_odds) end')} as profit,
  case when away_odds > 0 and away_odds < 10 then 'decimal' when away_odds > 0 then 'american_underdog' else 'american_favorite' end as odds_format from odds"""
-SQL["an_matchup_report"] = f"""select team_id, count(*) as games, cast(sum(is_win) as bigint) as wins, {r('avg(margin)')} as avg_margin, date '1999-06-01' - max(game_date) as rest_days, count(*) filter (where opp_id in (3, 7)) as head_to_head from
- (select *, row_number() over (partition by team_id order by game_date desc, game_id desc) as k from tg where team_id in (3, 7) and game_date < date '1999-06-01') where k <= 10 group by 1"""
+SQL["an_matchup_report"] = f"""select t.team_id, count(*) as games, cast(sum(t.is_win) as bigint) as wins, {r('avg(t.margin)')} as avg_margin, date '1999-06-01' - max(t.game_date) as rest_days,
+ (select count(*) from tg q where q.team_id = t.team_id and q.team_id in (3, 7) and q.opp_id in (3, 7) and q.game_date < date '1999-06-01') as head_to_head,
+ (select coalesce(cast(sum(q.is_win) as bigint), 0) from tg q where q.team_id = t.team_id and q.team_id in (3, 7) and q.opp_id in (3, 7) and q.game_date < date '1999-06-01') as head_to_head_wins
+ from (select *, row_number() over (partition by team_id order by game_date desc, game_id desc) as k from tg where team_id in (3, 7) and game_date < date '1999-06-01') t where k <= 10 group by 1"""
+SQL["an_key_players"] = """select b.game_id, b.team_id, b.player_id, try_cast(substr(b.minutes, 3, strpos(b.minutes, 'M') - 3) as double) + 0.5::double as minutes_played from v_player_boxscores b join games g on g.game_id = b.game_id
+ where g.game_date = date '1999-03-01' and (g.home_team_id in (3, 7) or g.away_team_id in (3, 7)) and b.team_id in (3, 7) and b.minutes like 'PT%M30S' and try_cast(substr(b.minutes, 3, strpos(b.minutes, 'M') - 3) as double) + 0.5 > 12"""
 cte("zs", " union all ".join(f"select t.game_id, '{c}' as feature, t.{c} as value, s.m as mean, s.sd from trn t, (select avg({c}) as m, stddev_samp({c}) as sd from trn) s where t.game_date = date '1999-03-01'" for c in _CF))
 SQL["an_against_history"] = f"select game_id, feature, {r('value')} as value, {r('mean')} as mean, {r('sd')} as sd, {r('(value - mean) / nullif(sd, 0)')} as z, coalesce(abs((value - mean) / nullif(sd, 0)) > 2, false) as is_extreme from zs"
 cte("il", """select g.game_id, g.team_id, i.injury_id, p.player_id, i.status, s.player_tier, s.impact_score, i.capture_date from gsides g join people p on p.team_id = g.team_id join v_injuries i on i.player_name = p.player_name and i.capture_date <= g.game_date and i.capture_date >= g.game_date - 7

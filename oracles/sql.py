@@ -36,7 +36,7 @@ def compose(sql: str) -> str:
 
 
 def h(x: str, n: int) -> str:
-    return f"cast(round(cast({x} as decimal(18,9)), {n}) as double)"
+    return f"cast(round(cast({x} as decimal(38,9)), {n}) as double)"
 
 
 def r(x: str) -> str:
