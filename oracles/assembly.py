@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from foretally.plans import assembly as A
-from foretally.plans import mart as M
-
+from . import published as P
 from .models import _T  # noqa: F401  (loads the model CTEs)
 from .models import LOOKUP
 from .sql import CTES, cte, h, r, sides
@@ -63,8 +61,7 @@ add("int_game_injury_features", sides("f_inj", {**{c: 0 for c in _CNT}, "injury_
 SQL["team_injury_features"] = """select capture_date, team_abbrev, count(*) as injured_players, """ + ", ".join(f"cast(sum((status = '{s}')::int) as bigint) as players_{s.lower()}" for s in ("Out", "Doubtful", "Questionable", "Probable")) + """,
  string_agg(player_name || ' (' || status || ')', ', ' order by player_name || ' (' || status || ')') as injury_list from v_injuries where status <> 'N/A' group by 1, 2"""
 
-# Feature groups: the same joins, written by name. Defaults follow the neutral-value rule.
-from pyspark.sql import types as _t  # noqa: E402
+# Feature groups: the same joins, written by name, with the published defaults.
 
 
 class _Cols:
@@ -95,12 +92,6 @@ columns = _Cols()
 IDS = ("game_id", "game_date", "home_team_id", "away_team_id")
 
 
-def _neutral(name: str, kind: str) -> str:
-    t = _t.BooleanType() if kind == "BOOLEAN" else _t.DoubleType() if kind == "DOUBLE" or kind.startswith("DECIMAL") else _t.LongType()
-    v = A.neutral(name, t)
-    return str(v).lower() if isinstance(v, bool) else repr(v)
-
-
 def group(parts: list[tuple[str, str, dict[str, str]]], diffs: dict[str, str]) -> str:
     """parts: (cte, join condition, column -> output name)."""
     cols, joins, expr = [], [], {}
@@ -108,7 +99,7 @@ def group(parts: list[tuple[str, str, dict[str, str]]], diffs: dict[str, str]) -
         kinds = dict(columns(name))
         joins.append(f"left join {name} p{i} on {on.format(p=f'p{i}')}")
         for c, a in rename.items():
-            x = f"coalesce(p{i}.{c}, {_neutral(a, kinds[c])})"
+            x = f"coalesce(p{i}.{c}, {P.default(a, kinds[c])})"
             expr[a] = x
             cols.append(f"{r(x) if kinds[c] == 'DOUBLE' or kinds[c].startswith('DECIMAL') else x} as {a}")
     for n, c in diffs.items():
@@ -116,6 +107,7 @@ def group(parts: list[tuple[str, str, dict[str, str]]], diffs: dict[str, str]) -
     return f"select g.game_id, g.game_date, g.home_team_id, g.away_team_id, {', '.join(cols)} from games g {' '.join(joins)}"
 
 
+GROUPS = ("int_momentum_group_basic", "int_momentum_group_h2h", "int_momentum_group_opponent", "int_momentum_group_context", "int_momentum_group_trends")
 _BY_GAME = "{p}.game_id = g.game_id"
 
 
@@ -129,19 +121,19 @@ def by_side(name: str, rename: dict[str, str]):
 
 
 def _groups() -> None:
-    add("int_momentum_group_basic", group([whole(n, ("win_streak_length_diff",)) for n in A.BASIC], {}))
+    add("int_momentum_group_basic", group([whole(n, ("win_streak_length_diff",)) for n in P.BASIC], {}))
     add("int_momentum_group_h2h", group([whole("int_team_h2h_stats", ("home_h2h_wins", "away_h2h_wins", "h2h_total_games")), whole("int_team_rivalry_ind"), whole("int_team_opp_specific_perf")], {}))
-    add("int_momentum_group_opponent", group([whole(n, ("home_rest_bucket", "away_rest_bucket")) for n in A.OPPONENT], A.OPPONENT_DIFFS))
+    add("int_momentum_group_opponent", group([whole(n, ("home_rest_bucket", "away_rest_bucket")) for n in P.OPPONENT], {f'{c}_diff': c for c in P.OPPONENT_DIFFS}))
     up = {f"{s}_underdog_game_count": f"{s}_underdog_game_count_upset" for s in ("home", "away")}
-    parts = [whole(n, rename=up if n == "int_team_upset_resistance" else None) for n in A.CONTEXT] + by_side("int_team_4q_perf", {c: c for c in A.QUARTER})
-    parts += [("int_team_playoff_ctx", f"{{p}}.game_date = g.game_date and {{p}}.team_id = g.{s}_team_id", {c: f"{s}_{a}" for c, a in A.RACE.items()}) for s in ("home", "away")]
-    add("int_momentum_group_context", group(parts, A.CONTEXT_DIFFS))
-    parts = by_side("int_team_form_divergence", A.DIVERGENCE) + by_side("int_team_perf_trends", {f"{k}_trend": f"{k}_trend" for k in A.TREND_KEYS})
-    parts += by_side("int_team_recent_momentum", {f"recent_{k}_momentum": f"recent_{k}_momentum" for k in A.TREND_KEYS}) + by_side("int_team_perf_accel", {c: c for c in A.ACCEL})
-    parts += [whole(n, ("rest_combination_key",)) for n in A.TRENDS]
-    add("int_momentum_group_trends", group(parts, A.TREND_DIFFS))
-    cte("int_game_momentum_features", "select b.*, " + ", ".join(f"{g[-5:]}.* exclude (game_id, game_date, home_team_id, away_team_id)" for g in A.GROUPS[1:]) + ", " +
-        ", ".join(f"{s} as {n}" for n, s in A.divergence_aliases().items()) + f" from {A.GROUPS[0]} b " + " ".join(f"left join {g} {g[-5:]} on {g[-5:]}.game_id = b.game_id" for g in A.GROUPS[1:]))
+    parts = [whole(n, rename=up if n == "int_team_upset_resistance" else None) for n in P.CONTEXT] + by_side("int_team_4q_perf", {c: c for c in P.QUARTER})
+    parts += [("int_team_playoff_ctx", f"{{p}}.game_date = g.game_date and {{p}}.team_id = g.{s}_team_id", {c: f"{s}_{a}" for c, a in P.RACE.items()}) for s in ("home", "away")]
+    add("int_momentum_group_context", group(parts, {f'{c}_diff': c for c in P.CONTEXT_DIFFS}))
+    parts = by_side("int_team_form_divergence", P.DIVERGENCE) + by_side("int_team_perf_trends", {f"{k}_trend": f"{k}_trend" for k in P.TREND_KEYS})
+    parts += by_side("int_team_recent_momentum", {f"recent_{k}_momentum": f"recent_{k}_momentum" for k in P.TREND_KEYS}) + by_side("int_team_perf_accel", {c: c for c in P.ACCELERATIONS})
+    parts += [whole(n, ("rest_combination_key",)) for n in P.TRENDS]
+    add("int_momentum_group_trends", group(parts, {f'{c}_diff': c for c in P.TREND_DIFFS}))
+    cte("int_game_momentum_features", "select b.*, " + ", ".join(f"{g[-5:]}.* exclude (game_id, game_date, home_team_id, away_team_id)" for g in GROUPS[1:]) + ", " +
+        ", ".join(f"{s} as {n}" for n, s in P.ALIASES.items()) + f" from {GROUPS[0]} b " + " ".join(f"left join {g} {g[-5:]} on {g[-5:]}.game_id = b.game_id" for g in GROUPS[1:]))
     SQL["int_game_momentum_features"] = "select " + ", ".join(f"{r(c)} as {c}" if _real(k) else c for c, k in columns("int_game_momentum_features")) + " from int_game_momentum_features"
 
 
@@ -149,15 +141,9 @@ def _real(kind: str) -> bool:
     return kind == "DOUBLE" or kind.startswith("DECIMAL")
 
 
-def duck(expr: str) -> str:
-    import re
-
-    return re.sub(r"(?<![\w])(\d+(?:\.\d+)?)D\b", r"cast(\1 as double)", expr)
-
-
 def _mart() -> None:
     roll = ", ".join(f"{s[0]}r.{c} as {s}_{c}" for s in ("home", "away") for c in LOOKUP if not c.startswith("wins_last") and c != "rolling_10_opp_ppg")
-    ret = ", ".join(f"{f'coalesce({s[0]}f.{c}, {d})' if d is not None else f'{s[0]}f.{c}'} as {s}_{c}" for s in ("home", "away") for c, d in M.RETURNS.items())
+    ret = ", ".join(f"{f'coalesce({s[0]}f.{c}, {d})' if d is not None else f'{s[0]}f.{c}'} as {s}_{c}" for s in ("home", "away") for c, d in P.RETURNS.items())
     cte("mart1", f"""select g.game_id, g.game_date, g.home_team_id, g.away_team_id, case when g.winner_team_id = g.home_team_id then 1 else 0 end as home_win, g.home_score, g.away_score, g.home_score - g.away_score as point_spread,
  g.home_score + g.away_score as total_points, g.is_overtime, {roll}, {ret}, i.* exclude (game_id, game_date, home_team_id, away_team_id), m.* exclude (game_id, game_date, home_team_id, away_team_id, home_back_to_back_with_travel, away_back_to_back_with_travel),
  m.home_back_to_back_with_travel::int as home_back_to_back_with_travel, m.away_back_to_back_with_travel::int as away_back_to_back_with_travel,
@@ -168,12 +154,12 @@ def _mart() -> None:
  left join int_game_injury_features i on i.game_id = g.game_id left join int_game_momentum_features m on m.game_id = g.game_id left join int_away_upset_tend u on u.game_id = g.game_id
  left join int_team_season_stats hs on hs.team_id = g.home_team_id left join int_team_season_stats s on s.team_id = g.away_team_id""")
     have = [c for c, _ in columns("mart1")]
-    e = {f"{k}_diff_{n}": f"home_rolling_{n}_{k} - away_rolling_{n}_{k}" for n in (5, 10) for k in M.DIFF_METRICS if (n, k) != (10, "fg_pct")}
+    e = {f"{k}_diff_{n}": f"home_rolling_{n}_{k} - away_rolling_{n}_{k}" for n in (5, 10) for k in P.ROLLING_DIFFS if (n, k) != (10, "fg_pct")}
     e |= {"season_win_pct_diff": "home_season_win_pct - away_season_win_pct", "season_point_diff_diff": "home_season_point_diff - away_season_point_diff",
           "star_return_advantage": "home_has_star_return - away_has_star_return", "return_impact_diff": "home_total_return_impact - away_total_return_impact"}
     cte("mart2", f"select *, {', '.join(f'{x} as {n}' for n, x in e.items())} from mart1")
-    more = {**M.mart_diff_sql(have), **M.interaction_sql()}
-    cte("mart3", f"select *, {', '.join(f'{duck(x)} as {n}' for n, x in more.items())} from mart2")
+    more = {n: f'home_{c} - away_{c}' for n, c in P.MART_DIFFS.items() if n not in have} | P.MART_FORMULAS
+    cte("mart3", f"select *, {', '.join(f'{x} as {n}' for n, x in more.items())} from mart2")
     cols = columns("mart3")
     SQL["mart_game_features"] = "select " + ", ".join(f"{r(c)} as {c}" if _real(k) else c for c, k in cols) + " from mart3"
 

@@ -1,7 +1,7 @@
 """Helpers that write the DuckDB check queries.
 
 The checks are written the naive way (self-joins over all earlier rows, plain
-window frames), so they share no logic with the Spark side.
+window frames); with the Spark side they share only the view texts of the base tables.
 """
 
 from __future__ import annotations
