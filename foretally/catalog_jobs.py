@@ -98,6 +98,15 @@ def feature_view(spark, d):
     return asof.asof_day(asked, m["int_team_rolling_stats"], ["team_id"], "game_date", cols, ["game_id"], strict=False, ttl_days=365)
 
 
+def game_feature_view(spark, d):
+    """All fields of the game feature view, each game asked for between the day before and 398 days after it."""
+    from .plans import mart
+
+    m = _models(spark, d)
+    asked = m.games.select("game_id", F.expr("date_add(game_date, cast(game_id % 400 as int) - 1)").alias("asked_on"))
+    return mart.game_feature_view(m["mart_game_features"], asked)
+
+
 # Keyed writes -----------------------------------------------------------------------
 
 
@@ -273,7 +282,7 @@ def in_best_version(spark, d):
 
 QUERIES = {f.__name__.removesuffix("_query"): f for f in (
     asof_events_query, asof_at_or_before_query, prior_days_events_query, prior_rows_events_query, decayed_events_query, running_events_query, streaks_events_query,
-    latest_n_asof_query, pair_rows_query, entity_rows_query, feature_view, wr_upsert, wr_append_new, wr_only_new_keys, wr_patch, wr_replace_keys,
+    latest_n_asof_query, pair_rows_query, entity_rows_query, feature_view, game_feature_view, wr_upsert, wr_append_new, wr_only_new_keys, wr_patch, wr_replace_keys,
     wr_replace_interval, wr_activate, dq_lineitem_rules, dq_orders_rules, dq_game_rules, dq_profile, dq_histogram, dq_drift, dq_anomalies,
     dq_freshness, dq_training_report, dq_rows_per_year, dq_raw_load_report, dq_injury_matching, dq_date_alignment, dq_fallback,
     in_interval_run, in_backfill, in_table_diff, in_coverage, in_best_version)}

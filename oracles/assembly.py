@@ -166,6 +166,9 @@ def _mart() -> None:
 
 _groups()
 _mart()
+SQL["game_feature_view"] = "select a.game_id, a.asked_on, " + ", ".join(
+    [f"cast(null as double) as {c}" if c.endswith("_form_divergence") else f"{r('m.' + c)} as {c}" for c in P.VIEW_DOUBLES] + [f"cast(m.{c} as integer) as {c}" for c in P.VIEW_INTS] + [f"cast(m.{c} as boolean) as {c}" for c in P.VIEW_FLAGS]) + """
+ from (select game_id, game_date + cast(game_id % 400 - 1 as integer) as asked_on from games) a left join mart3 m on m.game_id = a.game_id and a.asked_on - m.game_date between 0 and 365"""
 
 cte("recent", "select t.team_id, t.is_win, t.winner_team_id, row_number() over (partition by t.team_id order by t.game_date desc, t.game_id desc) as k from tg t")
 cte("recent20", "select *, case when winner_team_id is not null then is_win = 1 end as won from recent where k <= 20")

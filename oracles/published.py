@@ -290,3 +290,27 @@ MART_FORMULAS = {
     "away_net_rtg_vs_season_divergence_10": "coalesce(away_rolling_10_net_rtg, cast(0 as double)) - coalesce(away_season_point_diff, cast(0 as double))",
     "net_rtg_vs_season_divergence_diff_10": "(coalesce(home_rolling_10_net_rtg, cast(0 as double)) - coalesce(home_season_point_diff, cast(0 as double))) - (coalesce(away_rolling_10_net_rtg, cast(0 as double)) - coalesce(away_season_point_diff, cast(0 as double)))",
 }
+
+# Fields of the game feature view by type.
+VIEW_DOUBLES = """
+    home_rolling_5_ppg away_rolling_5_ppg home_rolling_5_win_pct away_rolling_5_win_pct home_rolling_5_opp_ppg away_rolling_5_opp_ppg
+    home_rolling_10_ppg away_rolling_10_ppg home_rolling_10_win_pct away_rolling_10_win_pct ppg_diff_5 win_pct_diff_5 ppg_diff_10
+    win_pct_diff_10 home_season_win_pct away_season_win_pct season_win_pct_diff home_total_return_impact away_total_return_impact
+    return_impact_diff home_injury_impact_score away_injury_impact_score injury_impact_diff injury_advantage_home injury_impact_x_form_diff
+    away_injury_x_form home_injury_x_form home_injury_impact_ratio away_injury_impact_ratio home_momentum_score away_momentum_score
+    home_form_divergence away_form_divergence home_h2h_win_pct home_recent_opp_avg_win_pct away_recent_opp_avg_win_pct
+    home_performance_vs_quality away_performance_vs_quality home_home_win_pct away_road_win_pct home_advantage
+""".split()
+
+VIEW_INTS = """
+    home_star_players_returning home_key_players_returning home_extended_returns home_max_days_since_return away_star_players_returning
+    away_key_players_returning away_extended_returns away_max_days_since_return home_star_players_out home_key_players_out
+    home_star_players_doubtful home_key_players_doubtful home_star_players_questionable home_injured_players_count away_star_players_out
+    away_key_players_out away_star_players_doubtful away_key_players_doubtful away_star_players_questionable away_injured_players_count
+    star_players_out_diff home_win_streak home_loss_streak away_win_streak away_loss_streak home_rest_days away_rest_days rest_advantage
+    home_h2h_recent_wins
+""".split()
+
+VIEW_FLAGS = """
+    home_has_key_injury away_has_key_injury home_back_to_back away_back_to_back
+""".split()
