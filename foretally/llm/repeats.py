@@ -221,13 +221,17 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         which = np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
         later = low[which] < doc[row]
         row, which = row[later], which[later]
+        # ranges of one row that overlap or touch become one: rows are laid out one after the other
+        room = int(size.max()) + 1
+        laid = row * room + place[which]
+        union = merged(np.stack([laid, laid + length[which]], axis=1))
+        row, from_, to = union[:, 0] // room, union[:, 0] % room, union[:, 1] - union[:, 0] // room * room
         starts = part.column("starts").combine_chunks()
         flat, many = starts.flatten().to_numpy(), starts.value_lengths().to_numpy().astype(np.int64)
         begin = np.cumsum(many) - many
         again = np.repeat(np.arange(len(row)), many[row])
         pick = np.arange(len(again)) + np.repeat(begin[row] - (np.cumsum(many[row]) - many[row]), many[row])
-        start = flat[pick] + place[which][again]
-        columns = [part.column("doc").to_numpy()[row][again], part.column("key").to_numpy()[row][again], start, start + length[which][again]]
+        columns = [doc[row][again], part.column("key").to_numpy()[row][again], flat[pick] + from_[again], flat[pick] + to[again]]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["doc", "key", "start", "stop"])
 
     def firsts(part: pa.Table) -> pa.Table:
@@ -282,7 +286,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     strings = rows.join(lists, "doc").select("doc", "key", "text", "anchors").mapInArrow(_strings, "anchor long, doc long, key long, bytes binary, starts array<long>")
     sorted_ = strings.repartition("anchor").sortWithinPartitions("anchor", "doc")
     spans = stored(sorted_.mapInArrow(_spans, "doc long, key long, start long, stop long"))
-    return spans.distinct().groupBy("doc", "key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    return spans.groupBy("doc", "key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
 
 
 def merged(spans: np.ndarray) -> np.ndarray:
