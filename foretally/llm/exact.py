@@ -35,12 +35,20 @@ def chunk_hash(chunk: Column, bits: int = 64) -> Column:
     return h if bits == 64 else F.shiftrightunsigned(h, 64 - bits)
 
 
-def clashes(docs: DataFrame, bits: int = 64) -> DataFrame:
-    """(hash, chunk, number): every chunk text whose hash another chunk text has as well, numbered from 0."""
+def _different_chunks(docs: DataFrame, bits: int) -> DataFrame:
     rows = docs.select(F.explode(chunks(F.coalesce("text", F.lit("")))).alias("chunk"))
-    texts = rows.select(chunk_hash(F.col("chunk"), bits).alias("hash"), "chunk").distinct()
-    several = texts.groupBy("hash").agg(F.collect_list("chunk").alias("same")).where(F.size("same") > 1)
-    return several.select("hash", F.posexplode(F.array_sort("same")).alias("number", "chunk"))
+    return rows.select(chunk_hash(F.col("chunk"), bits).alias("hash"), "chunk").distinct()
+
+
+def clashing_hashes(docs: DataFrame, bits: int = 64) -> DataFrame:
+    """Hashes that different chunk texts have. Chunks move once; after that only hashes do."""
+    return _different_chunks(docs, bits).groupBy("hash").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1").select("hash")
+
+
+def clashes(docs: DataFrame, hashes: DataFrame, bits: int = 64) -> DataFrame:
+    """(hash, chunk, number): the chunk texts of each of the hashes, numbered from 0."""
+    texts = _different_chunks(docs, bits).join(hashes, "hash", "left_semi")
+    return texts.groupBy("hash").agg(F.collect_list("chunk").alias("same")).select("hash", F.posexplode(F.array_sort("same")).alias("number", "chunk"))
 
 
 def recipes(docs: DataFrame, bits: int = 64) -> DataFrame:
@@ -48,9 +56,10 @@ def recipes(docs: DataFrame, bits: int = 64) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     hashes = F.transform(chunks(text), lambda c: chunk_hash(c, bits))
     plain = docs.select("doc_id", F.sha2(text, 256).alias("text_sha256"), hashes.alias("recipe"))
-    same = stored(clashes(docs, bits))
-    if same.isEmpty():  # every hash stands for one chunk text: hashes are the identifiers
+    shared = stored(clashing_hashes(docs, bits))
+    if shared.isEmpty():  # every hash stands for one chunk text: hashes are the identifiers
         return plain
+    same = stored(clashes(docs, shared, bits))
     numbered = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), text.alias("text"))
     pieces = numbered.select("row", F.posexplode(chunks("text")).alias("pos", "chunk"))
     pieces = pieces.withColumn("hash", chunk_hash(F.col("chunk"), bits)).join(same, ["hash", "chunk"])
