@@ -27,7 +27,7 @@ from .common import stored
 WINDOW = 2048
 END_ID = 1
 #: Pieces per group on average; the groups are what tasks work on.
-GROUP = 16_384
+GROUP = 2_048
 VOCABULARY = "byte_bpe_50k"
 #: Unbroken runs beyond this go to the library whose merges stay quick on them; both give the same ids.
 _LONG_RUN = re.compile(r"[^\s]{4000}|\s{4000}")
