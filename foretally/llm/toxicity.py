@@ -36,7 +36,7 @@ _LEXICON_FOLDS, _TREE_FOLDS, _CALIBRATION_FOLDS = (1, 2), (3,), (4,)
 _SURE = 5.0
 _NEARNESS = 4
 _TREES, _DEPTH, _RATE = 24, 4, 0.2
-_CACHE = 400_000
+_CACHE = 200_000
 
 #: Second-person words of the languages in use.
 SECOND_PERSON = frozenset("you your yours yourself u ur du dich dir dein deine deiner ihr euch tu toi te ton ta tes vous votre vos tú ti usted ustedes vosotros tus".split())
@@ -117,18 +117,20 @@ def features(text: str | None, words: _Words) -> list[float]:
     ]
 
 
-def with_features(docs: DataFrame, lexicon: Lexicon, keep: list[str]) -> DataFrame:
-    """Columns `keep` and `features`, an array of doubles."""
+def with_features(docs: DataFrame, lexicon: Lexicon, keep: list[str], text: str = "text") -> DataFrame:
+    """Columns `keep` and `features`, an array of doubles; the text travels once, whether it is kept or not."""
     kinds = dict(docs.dtypes)
+    sent = keep if text in keep else [text, *keep]
+    at, kept = sent.index(text), [sent.index(c) for c in keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words(lexicon)
         for batch in batches:
-            rows = [features(t.as_py(), words) for t in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(rows, pa.list_(pa.float64()))], names=[*keep, "features"])
+            rows = [features(t.as_py(), words) for t in batch.column(at)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in kept), pa.array(rows, pa.list_(pa.float64()))], names=[*keep, "features"])
 
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "features array<double>"])
-    return docs.select("text", *keep).mapInArrow(run, schema)
+    return docs.select(*sent).mapInArrow(run, schema)
 
 
 def learned_lexicon(rows: DataFrame, size: int = LEXICON) -> Lexicon:
@@ -158,11 +160,11 @@ class Model:
     calibration: object | None
     prior: float
 
-    def scores(self, docs: DataFrame, keep: list[str]) -> DataFrame:
+    def scores(self, docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
         """`keep` and `score`, the calibrated probability of label 1."""
         if self.trees is None:
             return docs.select(*keep, F.lit(self.prior).alias("score"))
-        rows = with_features(docs, self.lexicon, keep).withColumn("features", array_to_vector("features"))
+        rows = with_features(docs, self.lexicon, keep, text).withColumn("features", array_to_vector("features"))
         raw = _raw(self.trees.transform(rows), keep)
         fitted = self.calibration.transform(raw)
         # The step function of the calibration, and within a step the order of the trees.
@@ -212,6 +214,6 @@ def kept_documents(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED)
     """The documents scored below one half, with all their columns."""
     model = train(docs, labels, labelled)
     names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
-    rows = docs.select(F.col("text").alias("text"), *[F.col(f"`{c}`").alias(n) for c, n in names.items()])
-    out = model.scores(rows, list(names.values())).where("score < 0.5")
+    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    out = model.scores(rows, list(names.values()), names["text"]).where("score < 0.5")
     return out.select(*[F.col(n).alias(c) for c, n in names.items()])
