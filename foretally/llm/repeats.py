@@ -276,14 +276,18 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(doc, key, start, stop) per text with spans: arrays of byte ranges, which may overlap, covered by `LEAST`-byte
-    strings that also start in a document of smaller doc_id."""
+    """(doc, key, spans) per text with spans: arrays of byte ranges, which may overlap, covered by `LEAST`-byte strings
+    that also start in a document of smaller doc_id. The key is 0 where one row alone has the id."""
     rows = _keyed(docs)
     anchors = rows.select("doc", "text").mapInArrow(_anchors, "anchor long, doc long")
     same = Window.partitionBy("anchor")
     shared = anchors.withColumn("low", F.min("doc").over(same)).withColumn("high", F.max("doc").over(same)).where("low < high")
-    lists = stored(shared.groupBy("doc").agg(F.collect_list("anchor").alias("anchors")))  # bounded by the text's length
-    strings = rows.join(lists, "doc").select("doc", "key", "text", "anchors").mapInArrow(_strings, "anchor long, doc long, key long, bytes binary, starts array<long>")
+    lists = shared.groupBy("doc").agg(F.collect_list("anchor").alias("anchors"))  # bounded by the text's length
+    several = rows.groupBy("doc").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1").select("doc", F.lit(True).alias("several"))
+    lists = stored(lists.join(several, "doc", "left"))
+    # the key is noise that does not compress; it travels only with ids that several rows have
+    key = F.when(F.col("several"), F.col("key")).otherwise(F.lit(0)).alias("key")
+    strings = rows.join(lists, "doc").select("doc", key, "text", "anchors").mapInArrow(_strings, "anchor long, doc long, key long, bytes binary, starts array<long>")
     sorted_ = strings.repartition("anchor").sortWithinPartitions("anchor", "doc")
     spans = stored(sorted_.mapInArrow(_spans, "doc long, key long, start long, stop long"))
     return spans.groupBy("doc", "key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
@@ -303,7 +307,8 @@ def cut_texts(docs: DataFrame) -> DataFrame:
     """doc_id, bytes (what is left of the text), n_bytes, n_removed, n_spans for every row."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), F.xxhash64(text).alias("key"), text.cast("binary").alias("text"))
-    both = rows.join(stored(repeated_spans(docs)), ["doc", "key"], "left")
+    found = stored(repeated_spans(docs)).select(F.col("doc").alias("of"), F.col("key").alias("of_key"), "spans")
+    both = rows.join(found, (F.col("doc") == F.col("of")) & ((F.col("of_key") == 0) | (F.col("key") == F.col("of_key"))), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
