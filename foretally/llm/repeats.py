@@ -117,17 +117,17 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, key, text, anchors) -> (anchor, doc, key, bytes, starts): the runs with one of the anchors; equal ones of a
-    text as one row."""
+    """(doc, key, text, upper halves of anchors) -> (anchor, doc, key, bytes, starts): the runs with one of the anchors
+    (and the odd one with the same half, which then meets no other); equal ones of a text as one row."""
     for batch in batches:
         doc, key, texts = batch.column(0).to_numpy(), batch.column(1).to_numpy(), [t.as_py() for t in batch.column(2)]
         lists = batch.column(3)
-        wanted, owner = lists.flatten().to_numpy().view(np.uint64), np.repeat(np.arange(len(doc)), lists.value_lengths().to_numpy())
+        wanted, owner = lists.flatten().to_numpy().astype(np.int64).view(np.uint64), np.repeat(np.arange(len(doc)), lists.value_lengths().to_numpy())
         salt = np.uint64(0x9E3779B97F4A7C15)
         wanted = np.sort(wanted + owner.astype(np.uint64) * salt)
         for which, offset, lengths, text in _portions(texts):
             part, start, length, anchor = runs(lengths, text)
-            mixed = anchor + which[part].astype(np.uint64) * salt
+            mixed = (anchor.view(np.int64) >> 32).view(np.uint64) + which[part].astype(np.uint64) * salt
             place = np.searchsorted(wanted, mixed)
             hit = (place < len(wanted)) & (wanted[np.minimum(place, len(wanted) - 1)] == mixed) if len(wanted) else np.zeros(len(mixed), dtype=bool)
             if not hit.any():
@@ -282,7 +282,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     anchors = rows.select("doc", "text").mapInArrow(_anchors, "anchor long, doc long")
     same = Window.partitionBy("anchor")
     shared = anchors.withColumn("low", F.min("doc").over(same)).withColumn("high", F.max("doc").over(same)).where("low < high")
-    lists = shared.groupBy("doc").agg(F.collect_list("anchor").alias("anchors"))  # bounded by the text's length
+    lists = shared.groupBy("doc").agg(F.collect_list(F.shiftright("anchor", 32).cast("int")).alias("anchors"))  # bounded by the text's length
     several = rows.groupBy("doc").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1").select("doc", F.lit(True).alias("several"))
     lists = stored(lists.join(several, "doc", "left"))
     # the key is noise that does not compress; it travels only with ids that several rows have

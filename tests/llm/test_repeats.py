@@ -69,8 +69,8 @@ def local(rows):
     every = []
     for n, (d, t) in enumerate(raw):
         for batch in [pa.record_batch({"doc": pa.array([d]), "text": pa.array([t], pa.binary())})]:
-            anchors = sorted({a for b in repeats._anchors(iter([batch])) for a in b.column(0).to_pylist()})
-        full = pa.record_batch({"doc": pa.array([d]), "key": pa.array([n]), "text": pa.array([t], pa.binary()), "anchors": pa.array([anchors], pa.list_(pa.int64()))})
+            anchors = sorted({a >> 32 for b in repeats._anchors(iter([batch])) for a in b.column(0).to_pylist()})
+        full = pa.record_batch({"doc": pa.array([d]), "key": pa.array([n]), "text": pa.array([t], pa.binary()), "anchors": pa.array([anchors], pa.list_(pa.int32()))})
         every += [b for b in repeats._strings(iter([full])) if b.num_rows]
     whole = repeats._as_table(every).sort_by([("anchor", "ascending"), ("doc", "ascending")])
     spans: dict[int, list] = {}
