@@ -1,6 +1,7 @@
 """Secret scans: wide candidate search, then a random forest that removes false findings.
 
-Candidates are long runs of key characters with a digit, and values given to names such as token or password. The forest
+Candidates are runs of 12 or more key characters with a digit, and values of 6 or more characters given to names such as
+token or password, quoted ones to the closing quote of their line; a run that begins before such a value stands for it. The forest
 looks at length, entropy, character classes and their changes, how likely the character transitions are in words, how
 much of the candidate is covered by dictionary words, the path, and the neighbouring words; weights of path and
 neighbours are learned from one part of the labelled findings, the forest from another. Dictionary and transitions come
@@ -40,7 +41,11 @@ TREES, DEPTH = 40, 8
 _RUN = re.compile(r"[A-Za-z0-9+/_=.@:\-]{12,}")
 #: Names that credentials are given to.
 NAMES = ("password", "passwd", "pwd", "secret", "token", "api_key", "apikey", "access_key", "private_key", "auth", "credential")
-_GIVEN = re.compile(r"(?i)\b[a-z_\-]{0,20}(?:" + "|".join(NAMES) + r")[a-z_\-]{0,12}[\"']?\s{0,3}[:=]{1,2}\s{0,3}[\"']?([^\s\"',;]{6,})")
+_NAME = re.compile("(?i)" + "|".join(n.replace("_", "[_-]?") for n in NAMES))
+# a whole word and the sign after it, possessive: every character is passed once
+_SIGN = re.compile(r"(?<![A-Za-z0-9_\-])[A-Za-z0-9_\-]++[\"']?\s*+(?:=>|[:=]{1,2}+)\s*+")
+_QUOTED = re.compile(r"\"((?:[^\"\\\n]|\\.)++)\"|'((?:[^'\\\n]|\\.)++)'")
+_BARE = re.compile(r"[\"']?([^\s\"',;]{6,})")
 #: Published formats of keys.
 FORMATS = re.compile(r"AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[0-9A-Za-z]{16,}|AIza[0-9A-Za-z_\-]{35}|eyJ[A-Za-z0-9_\-]+\.[A-Za-z0-9_\-]+\.[A-Za-z0-9_\-]+")
 _PLAIN = re.compile(r"[0-9.:/\-]+|(?:[0-9]{1,3}\.){3}[0-9]{1,3}\S*|\S*[A-Za-z0-9.\-]@[A-Za-z0-9.\-]+\S*|(?i:https?:|www\.)\S*|v?[0-9]+(?:\.[0-9]+)+\S*")
@@ -86,37 +91,62 @@ def numbers_of(value: str, before: str, after: str, path: str) -> list[float]:
     near = before[-24:].lower()
     return [
         entropy, len(counts) / n, *share, changes, float(np.mean(logs)) if logs else -14.0, covered(value),
-        float(all(c in "0123456789abcdef" for c in low)), float(any(name in near for name in NAMES)),
+        float(all(c in "0123456789abcdef" for c in low)), float(bool(_NAME.search(near))),
         float(before.rstrip("\"' ")[-1:] in ("=", ":")), float(before[-1:] in ("\"", "'") and after[:1] in ("\"", "'")),
         float(low.count(".")), float(low.count("/")), float("@" in low), float(path.count("/")), float(len(path)),
         float(any(w in path.lower() for w in ("test", "example", "doc", "sample"))),
     ]
 
 
-def label_of(value: str, before: str, after: str) -> int | None:
+def given(text: str) -> list[tuple[int, int]]:
+    """Places of the values given to names of credentials: to the closing quote of the line, or to a blank, quote or comma."""
+    out, at = [], 0
+    while m := _SIGN.search(text, at):
+        at = m.end()
+        if _NAME.search(m.group()):
+            quoted = _QUOTED.match(text, at)
+            value = quoted if quoted and len(quoted[quoted.lastindex]) >= 6 else None if quoted else _BARE.match(text, at)
+            if value:
+                out.append(value.span(value.lastindex))
+                at = value.end()
+    return out
+
+
+def label_of(value: str, before: str, after: str, named: bool | None = None) -> int | None:
+    """`named` tells whether the value is given to a name; without it, that is looked up in `before`."""
     if FORMATS.fullmatch(value):
         return 1
     if _PLAIN.fullmatch(value) or covered(value) > 0.6:
         return 0
     quoted = before[-1:] in ("\"", "'") and after[:1] in ("\"", "'")
-    named = _GIVEN.search(before + value)
+    if named is None:
+        named = bool(given(before + value + (before[-1:] if quoted else "")))
     if quoted and named and len(value) >= 16 and any(map(str.isdigit, value)):
         return 1
     return None if named else 0
 
 
+def _places(text: str) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """Places of the candidates, each once, and of the values given to names."""
+    found = [m.span() for m in _RUN.finditer(text) if any(map(str.isdigit, m.group()))]
+    values = given(text) if "=" in text or ":" in text else []
+    starts, more, shorter = [a for a, _ in found], [], set()
+    for a, b in values:
+        first, last = bisect_left(starts, a), bisect_left(starts, b)
+        if first and found[first - 1][1] > a:
+            continue  # a run that begins before the value stands for it
+        if first < last and found[last - 1][1] > b:
+            continue
+        # a run that begins with the value is part of it
+        if first < last and starts[first] == a:
+            shorter.add(found[first])
+        more.append((a, b))
+    return sorted([f for f in found if f not in shorter] + more), values
+
+
 def spans_of(text: str) -> list[tuple[int, int]]:
     """Places of the candidates, each once."""
-    found = [m.span() for m in _RUN.finditer(text) if any(map(str.isdigit, m.group()))]
-    more = []
-    if "=" in text or ":" in text:
-        starts = [a for a, _ in found]
-        for m in _GIVEN.finditer(text):
-            a, b = m.span(1)
-            at = bisect_left(starts, b)  # runs do not overlap, so only the last one before the value's end can touch it
-            if not at or found[at - 1][1] <= a:
-                more.append((a, b))
-    return sorted(found + more)
+    return _places(text)[0]
 
 
 def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
@@ -127,10 +157,14 @@ def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
             rows: list[tuple] = []
             for doc_id, text, where in zip(whole.column(0).to_pylist(), whole.column(1), whole.column(2).to_pylist(), strict=True):
                 text = text.as_py() or ""
-                for a, b in spans_of(text):
+                places, values = _places(text)
+                ends = [e for _, e in values]
+                for a, b in places:
                     before, after, value = text[max(0, a - _AROUND) : a], text[b : b + _AROUND], text[a:b]
+                    at = bisect_left(ends, a + 1)
+                    named = at < len(values) and values[at][0] < b
                     numbers = [math.log1p(b - a), *numbers_of(value, before, after, where or "")]
-                    rows.append((doc_id, where or "", a, b - a, before, after, numbers, label_of(value, before, after)))
+                    rows.append((doc_id, where or "", a, b - a, before, after, numbers, label_of(value, before, after, named)))
                 if len(rows) >= 5_000:
                     yield _batch(rows)
                     rows = []

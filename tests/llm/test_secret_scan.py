@@ -1,5 +1,6 @@
 import random
 import string
+import time
 
 from foretally.llm import secret_scan as S
 
@@ -46,6 +47,22 @@ def test_candidates_against_a_plain_search():
     assert S.spans_of(long) == [(0, 100_000)] and len(S.numbers_of(long, "", "", "")) == 19
 
 
+def test_values_given_in_other_shapes():
+    shapes = {
+        'db_password          = "Tr0ub4dor"': "Tr0ub4dor", "'password' => 'Tr0ub4dor'": "Tr0ub4dor", 'password1 = "Tr0ub4dor"': "Tr0ub4dor",
+        'my_very_long_service_prod_password = "Tr0ub4dor"': "Tr0ub4dor", "api-key: qwertzui": "qwertzui", "token_of_the_second_server:    qwertzui": "qwertzui",
+        'password = "correct horse battery staple"': "correct horse battery staple", "x = secret = 'it is \\'so\\' 12'": "it is \\'so\\' 12",
+        'password: "open end': None, 'passwort = "Tr0ub4dor"': None,
+    }
+    for text, value in shapes.items():
+        found = [text[a:b] for a, b in S.spans_of(text)]
+        assert found == ([value] if value else []), text
+    for text in ("token" * 40_000, "token " * 40_000, "token" + " " * 200_000, "token='" * 30_000, 'token="\\' * 30_000):
+        start = time.process_time()
+        S.spans_of(text)
+        assert time.process_time() - start < 5
+
+
 def test_odd_rows_and_given_labels(spark):
     docs = spark.createDataFrame([(1, None, None), (None, "token = 'abcdef0123456789'", "p"), (2, "", "p")], "doc_id long, text string, source string")
     got = S.scan(docs).collect()
