@@ -110,9 +110,9 @@ def ml_importances(spark, d):
 
 def ml_select_features(spark, d):
     rows, feats = _training(spark, d)
-    kept = model.select_features(rows, feats[:10], "rfe", n=6, step=2, trees=5, depth=3)
-    best = model.select_features(rows, feats[:10], "percentile", percentile=50, trees=5, depth=3)
-    return spark.createDataFrame([(f, f in kept, f in best) for f in feats[:10]], "feature string, kept_by_rfe boolean, kept_by_percentile boolean")
+    kept = model.select_features(rows, feats, "rfe", n=6, step=2, trees=5, depth=3)
+    best = model.select_features(rows, feats, "percentile", percentile=50, trees=5, depth=3)
+    return spark.createDataFrame([(f, f in kept, f in best) for f in feats], "feature string, kept_by_rfe boolean, kept_by_percentile boolean")
 
 
 def ml_stacking(spark, d):
@@ -196,7 +196,7 @@ def ml_mean_contributions(spark, d):
 def ml_permutation(spark, d):
     mdl, s, feats = _small_fit(spark, d, "logistic")
     test = s.filter("part = 'test'")
-    return analysis.permutation_importance(lambda x: model.predict(mdl, x), test, feats[:4])
+    return analysis.permutation_importance(lambda x: model.predict(mdl, x), test, feats)
 
 
 def an_prediction_errors(spark, d):

@@ -45,3 +45,13 @@ def test_payouts(spark):
     profit, kind = analysis.payout(F.col("o"))
     got = [(round(r.p, 2), r.k) for r in df.select(profit.alias("p"), kind.alias("k")).collect()]
     assert got == [(9.52, "decimal"), (15.0, "american_underdog"), (5.0, "american_favorite")]
+
+
+def test_every_feature_is_judged(spark):
+    from foretally import catalog_ml
+    from tests.conftest import SF
+
+    _, feats = catalog_ml._training(spark, SF)
+    assert len(feats) > 10
+    for query in (catalog_ml.ml_select_features, catalog_ml.ml_permutation):
+        assert sorted(r.feature for r in query(spark, SF).collect()) == sorted(feats)
