@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, language, lines, mixing, multi_index, packing, repeats, secret_scan, simhash, toxicity
+from . import exact, fill_middle, language, lexical, lines, mixing, multi_index, packing, personal_data, repeats, secret_scan, simhash, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,7 +55,24 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents")).drop("label")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_lines, op4_multi_index, op5_repeats, op6_exact_dedup, op7_language, op8_mixing, op9_packing, op10_secret_scan)}
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fill_middle.transformed(table(spark, sf_dir, "documents"))
+    return fill_middle.restored(rows, texts=False)
+
+
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(lexical.index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.personal_data(table(spark, sf_dir, "documents"))
+
+
+_ALL = (
+    op1_toxicity, op2_simhash, op3_lines, op4_multi_index, op5_repeats, op6_exact_dedup, op7_language, op8_mixing, op9_packing, op10_secret_scan,
+    op11_fill_middle, op12_lexical, op13_personal_data,
+)
+QUERIES: dict[str, Query] = {f.__name__: f for f in _ALL}
 
 SQL: dict[str, str] = {}
 
@@ -98,3 +115,55 @@ select doc_id, size, source_size, target,
        (size * case when base >= 2 then 2 when upto <= goal_left or upto - same_hash / 2.0::double <= goal_left then base + 1 else base end)::bigint as taken
 from ordered
 """
+
+SQL["op11_fill_middle"] = r"""
+with hashed as (
+    select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') as lines,
+           sha256('7:' || coalesce(doc_id::varchar, '')) as hex
+    from documents
+), drawn as (
+    select *, len(lines)::bigint as n, ('0x' || substr(hex, 1, 8))::bigint % (len(lines) + 1) as c1, ('0x' || substr(hex, 9, 8))::bigint % (len(lines) + 1) as c2,
+           text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or ('0x' || substr(hex, 17, 8))::bigint % 100 >= 100 as plain,
+           ('0x' || substr(hex, 25, 8))::bigint % 100 < 50 as suffix_first
+    from hashed
+), cut as (
+    select *, coalesce(array_to_string(lines[1:least(c1, c2)], ''), '') as prefix,
+           coalesce(array_to_string(lines[least(c1, c2) + 1:greatest(c1, c2)], ''), '') as middle,
+           coalesce(array_to_string(lines[greatest(c1, c2) + 1:], ''), '') as suffix
+    from drawn
+)
+select doc_id, n, case when plain then 'plain' when suffix_first then 'spm' else 'psm' end as form,
+       case when not plain then length(prefix) end::bigint as prefix_chars, case when not plain then length(middle) end::bigint as middle_chars,
+       sha256(case when plain then text when suffix_first then '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+                   else '<P>' || prefix || '<S>' || suffix || '<M>' || middle end) as output_sha256,
+       sha256(text) as restored_sha256
+from cut
+"""
+
+SQL["op12_lexical"] = r"""
+with found as (
+    select row_number() over () as row, doc_id,
+           regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms
+    from documents
+), docs as (
+    select row, doc_id, terms, len(terms)::bigint as n from found where len(terms) > 0
+), whole as (
+    select count(*)::bigint as total, sum(n)::bigint as words from docs
+), asked as (
+    select distinct item_id,
+           unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from benchmark
+), postings as (
+    select row, term, count(*)::bigint as tf from (select row, unnest(terms) as term from docs) group by row, term
+), weights as (
+    select term, floor(1000 * ln((2 * total + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+    from postings, whole where term in (select term from asked) group by term, total
+), scored as (
+    select a.item_id, d.row, d.doc_id, sum(w.w * ((1000000000 * p.tf) // (1000 * p.tf + 20 * (50 + (50 * d.n * total) // words))))::bigint as score
+    from asked a join weights w using (term) join postings p using (term) join docs d using (row), whole
+    group by a.item_id, d.row, d.doc_id
+), ranked as (
+    select item_id, row_number() over (partition by item_id order by score desc, doc_id nulls last, row)::int as rank, doc_id, score from scored where score > 0
+)
+select item_id, rank, doc_id, score from ranked where rank <= 50
+"""
