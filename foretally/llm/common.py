@@ -17,6 +17,12 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _WRITTEN: list[str] = []
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """`docs` with columns named by their place, and the new name of each: added columns cannot clash with them."""
+    names = {c: f"__c{i}" for i, c in enumerate(docs.columns)}
+    return docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]), names
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -62,9 +68,14 @@ def shuffle_files_removed(spark: SparkSession):
         spark.conf.set(_CLEANUP, before)
 
 
-def null_first_key(name: str) -> list[Column]:
-    """A column as two that are never null, so that null is a key like others in joins and groups."""
-    return [F.col(name).isNull().alias(f"{name}_null"), F.coalesce(F.col(name), F.lit("")).alias(f"{name}_key")]
+def spread_bits(*names: str) -> Column:
+    """60 uniform bits of the named columns."""
+    return F.xxhash64(*names).bitwiseAND(F.lit((1 << 60) - 1))
+
+
+def limit_for(wanted: int, rows: int) -> int:
+    """The bound on `spread_bits` below which about `wanted` of `rows` rows lie, however many there are."""
+    return min(1 << 60, (wanted << 60) // max(1, rows))
 
 
 def running_totals(df: DataFrame, order: Sequence[str | Column], sums: Sequence[str]) -> DataFrame:

@@ -30,7 +30,7 @@ END_ID = 1
 GROUP = 2_048
 VOCABULARY = "byte_bpe_50k"
 #: Unbroken runs beyond this go to the library whose merges stay quick on them; both give the same ids.
-_LONG_RUN = re.compile(r"[^\s]{4000}|\s{4000}")
+_LONG_RUN = r"[^\s]{4000}|\s{4000}"
 _TEXT_BATCH = 256
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -42,20 +42,23 @@ def _encoders(vocabulary: str):
     from tokenizers import Tokenizer
 
     slow = Tokenizer.from_file(public_tokenizers.path(f"{vocabulary}.json"))
-    slow.encode_special_tokens = True
     with open(public_tokenizers.path(f"{vocabulary}.tiktoken"), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return slow, tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    added = [t.content for t in slow.get_added_tokens_decoder().values()]
+    by_slow = re.compile("|".join([_LONG_RUN, *map(re.escape, added)]))
+    return slow, tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}), by_slow
 
 
 def token_ids(text: str | None, vocabulary: str = VOCABULARY) -> np.ndarray:
-    """The ids of `tokenizers` for the vocabulary (special strings are ordinary text), then the closing id.
+    """The ids of `tokenizers` for the vocabulary, then the closing id. A string that the vocabulary adds as a token of its own
+    gets that token's id inside a text too.
 
-    The vocabulary's rank file gives the same ids several times quicker, but slows down on very long unbroken runs.
+    The vocabulary's rank file gives the same ids several times quicker, but slows down on very long unbroken runs and
+    knows no added tokens; such texts go to the library itself.
     """
-    slow, quick = _encoders(vocabulary)
+    slow, quick, by_slow = _encoders(vocabulary)
     text = text or ""
-    ids = slow.encode(text, add_special_tokens=False).ids if _LONG_RUN.search(text) else quick.encode_ordinary(text)
+    ids = slow.encode(text, add_special_tokens=False).ids if by_slow.search(text) else quick.encode_ordinary(text)
     return np.array([*ids, END_ID], dtype="<u4")
 
 

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import stored
+from .common import limit_for, spread_bits, stored
 
 KINDS = ("email", "ip", "card", "phone")
 #: Spans the classifier is trained on, at most about; rounds of expectation-maximisation; characters of context on each side.
@@ -237,11 +237,7 @@ def findings(found: DataFrame, trained: int = TRAINED, rounds: int = ROUNDS) ->
     votes = stored(voted(found))
     known = reliabilities(votes, rounds)
     likely = votes.withColumn("likely", known.posterior())
-    n = votes.count()
-    top = (1 << 60) - 1
-    limit = min(1 << 60, (trained << 60) // max(1, n))
-    spread = F.xxhash64("row", "kind", "start").bitwiseAND(F.lit(top))
-    learn = stored(likely.where(spread < F.lit(limit)))
+    learn = stored(likely.where(spread_bits("row", "kind", "start") < F.lit(limit_for(trained, votes.count()))))
     twice = learn.select("numbers", "near", F.explode(F.array(F.struct(F.lit(1.0).alias("label"), F.col("likely").alias("weight")), F.struct(F.lit(0.0).alias("label"), (1 - F.col("likely")).alias("weight")))).alias("y"))
     twice = twice.select("numbers", "near", "y.*").withColumn("dense", array_to_vector("numbers"))
     seen = learn.agg(F.min("likely").alias("low"), F.max("likely").alias("high")).first()
