@@ -5,7 +5,8 @@ all ways to put it together from pieces (forward algorithm); that of a text is t
 probabilities are fitted by expectation-maximisation over word counts: Spark sums expected piece counts, a table of
 languages x pieces, which is all that reaches the driver.
 
-Words are runs of letters in lower case; runs beyond `LONGEST_UNIT` letters are cut there, and no piece crosses a cut.
+Words are runs of letters in lower case, of any length. Words of up to `TOGETHER` letters are summed many at once; longer ones
+one by one, in logarithms, so that no product gets too small for a number.
 
 Defined results: null texts and texts without letters give `und` and score 0; equal scores go to the language first by
 code point; without learned languages all texts give `und`; rows that repeat are predicted once each; rows without lang
@@ -25,14 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import limit_for, spread_bits, stored
 
 #: Labelled documents per language to learn from, at most about (chosen by a hash of their id); rounds of fitting.
 PER_LANGUAGE = 1_500
 ROUNDS = 4
 FOLDS, HELD_OUT = 3, 1
 VOCABULARY = "piece_bpe_32k.model"
-LONGEST_UNIT = 32
+TOGETHER = 32
 UNKNOWN = "und"
 #: Probability of any one character outside the vocabulary, the same in all languages and not fitted.
 _OUTSIDE = 1e-7
@@ -50,7 +51,7 @@ def vocabulary(name: str = VOCABULARY) -> list[str]:
 
     model = SentencePieceProcessor(model_file=public_tokenizers.path(name))
     found = (model.id_to_piece(i) for i in range(model.get_piece_size()))
-    return sorted({p for p in found if p.removeprefix("▁").isalpha() and p == p.lower() and len(p) <= LONGEST_UNIT})
+    return sorted({p for p in found if p.removeprefix("▁").isalpha() and p == p.lower()})
 
 
 class Pieces:
@@ -101,14 +102,86 @@ class Pieces:
                     yield start, end, alive[hit], found[hit]
 
 
+    def steps(self, word: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, end, piece) for every substring of one word that is a piece, by end."""
+        hashes, power = self.hashes([word])[0][0], np.cumprod(np.r_[np.uint64(1), np.full(self.longest, _BASE)])
+        found = []
+        for n in range(1, min(self.longest, len(word)) + 1):
+            value = hashes[n:] - hashes[:-n] * power[n]
+            slot, piece = self._slot(value), np.full(len(value), -1, dtype=np.int32)
+            for row_hash, row_id in zip(self.table_hash, self.table_id, strict=True):
+                same = row_hash[slot] == value
+                piece[same] = row_id[slot[same]]
+            start = np.flatnonzero(piece >= 0)
+            found.append((start, start + n, piece[start]))
+        start, end, piece = (np.concatenate(c) for c in zip(*found, strict=True))
+        order = np.argsort(end, kind="stable")
+        return start[order], end[order], piece[order]
+
+
 @lru_cache(maxsize=2)
 def pieces_of(name: str = VOCABULARY) -> Pieces:
     return Pieces(vocabulary(name))
 
 
-def units(word: str) -> list[str]:
-    marked = "▁" + word
-    return [marked[i : i + LONGEST_UNIT] for i in range(0, len(marked), LONGEST_UNIT)]
+def marked(word: str) -> str:
+    return "▁" + word
+
+
+def _log_sum(parts: np.ndarray) -> np.ndarray:
+    top = parts.max(axis=0)
+    return top + np.log(np.exp(parts - top).sum(axis=0))
+
+
+def forward_long(word: str, prob: np.ndarray, pieces: Pieces):
+    """Logarithms of the forward sums (place x language) of one word, and its pieces as `Pieces.steps` gives them."""
+    start, end, piece = pieces.steps(word)
+    log = np.log(prob.T)
+    first = np.searchsorted(end, np.arange(len(word) + 2))
+    alpha = np.zeros((len(word) + 1, prob.shape[0]))
+    for at in range(1, len(word) + 1):
+        some = slice(first[at], first[at + 1])
+        alpha[at] = _log_sum(np.concatenate([alpha[at - 1 : at] + log[-1], alpha[start[some]] + log[piece[some]]]))
+    return alpha, (start, end, piece)
+
+
+def expected_long(word: str, count: float, prob: np.ndarray, pieces: Pieces) -> np.ndarray:
+    """Expected uses of each piece in one word of one language."""
+    alpha, (start, end, piece) = forward_long(word, prob[None, :], pieces)
+    alpha, log, total = alpha[:, 0], np.log(prob), alpha[-1, 0]
+    order = np.argsort(start, kind="stable")
+    first = np.searchsorted(start[order], np.arange(len(word) + 1))
+    beta = np.zeros(len(word) + 1)
+    for at in range(len(word) - 1, -1, -1):
+        some = order[first[at] : first[at + 1]]
+        beta[at] = _log_sum(np.append(beta[end[some]] + log[piece[some]], beta[at + 1] + log[-1]))
+    out = np.zeros(pieces.n + 1)
+    np.add.at(out, piece, count * np.exp(alpha[start] + log[piece] + beta[end] - total))
+    out[-1] += count * np.exp(alpha[:-1] + log[-1] + beta[1:] - total).sum()
+    return out
+
+
+def log_probability(words: list[str], prob: np.ndarray, pieces: Pieces) -> np.ndarray:
+    """Log probability (word x language), summed over all segmentations."""
+    out = np.zeros((len(words), prob.shape[0]))
+    order = sorted(range(len(words)), key=lambda i: len(words[i]))
+    short = sum(len(w) <= TOGETHER for w in words)
+    for at in range(0, short, 4000):  # words of like length together
+        part = order[at : min(short, at + 4000)]
+        out[part] = forward([words[i] for i in part], prob, pieces)
+    for i in order[short:]:
+        out[i] = forward_long(words[i], prob, pieces)[0][-1]
+    return out
+
+
+def expected_uses(words: list[str], count: np.ndarray, prob: np.ndarray, pieces: Pieces) -> np.ndarray:
+    """Expected uses of each piece in the words of one language."""
+    out, short = np.zeros(pieces.n + 1), np.array([len(w) <= TOGETHER for w in words], dtype=bool)
+    if short.any():
+        out += expected([w for w, s in zip(words, short, strict=True) if s], count[short], prob, pieces)
+    for i in np.flatnonzero(~short):
+        out += expected_long(words[i], count[i], prob, pieces)
+    return out
 
 
 def forward(words: list[str], prob: np.ndarray, pieces: Pieces, keep_steps: bool = False):
@@ -175,8 +248,8 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, rounds: int = ROUND
     languages = tuple(sorted(counts))
     if not languages:
         return Model((), np.zeros((0, 0)), name)
-    share = F.create_map(*[F.lit(x) for k in languages for x in (k, int(min(1.0, per_language / counts[k]) * 1_000_000))])
-    chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.element_at(share, F.col("lang")))
+    limits = F.create_map(*[F.lit(x) for k in languages for x in (k, limit_for(per_language, counts[k]))])
+    chosen = known.where(spread_bits("doc_id") < F.element_at(limits, F.col("lang")))
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
@@ -197,10 +270,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, rounds: int = ROUND
             sums = np.zeros_like(prob)
             for frame in batches:
                 for lang, part in frame.groupby("lang"):
-                    cut = [(u, n) for w, n in zip(part["word"], part["n"], strict=True) for u in units(w)]
-                    if cut:
-                        split, n = zip(*cut, strict=True)
-                        sums[place[lang]] += expected(list(split), np.array(n, dtype=np.float64), prob[place[lang]], pieces_of(name))
+                    sums[place[lang]] += expected_uses([marked(w) for w in part["word"]], part["n"].to_numpy(dtype=np.float64), prob[place[lang]], pieces_of(name))
             lang, piece = np.nonzero(sums)
             yield pd.DataFrame({"lang": lang, "piece": piece, "n": sums[lang, piece]})
 
@@ -220,14 +290,7 @@ class Scorer:
         self.rows = np.zeros((0, len(model.languages)))
 
     def _learn(self, fresh: list[str]) -> None:
-        cut = [units(w) for w in fresh]
-        flat, owner = [u for us in cut for u in us], np.repeat(np.arange(len(fresh)), [len(us) for us in cut])
-        by_length = np.argsort([len(u) for u in flat], kind="stable")
-        logs = np.zeros((len(flat), len(self.model.languages)))
-        for part in np.array_split(by_length, max(1, len(flat) // 4000)):  # words of like length together
-            logs[part] = forward([flat[i] for i in part], self.model.prob, self.pieces)
-        value = np.zeros((len(fresh), logs.shape[1]))
-        np.add.at(value, owner, logs)
+        value = log_probability([marked(w) for w in fresh], self.model.prob, self.pieces)
         start = len(self.rows)
         self.rows = np.concatenate([self.rows, value])
         self.known.update((w, start + i) for i, w in enumerate(fresh))

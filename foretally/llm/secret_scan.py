@@ -29,7 +29,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import limit_for, spread_bits, stored
 from .language import vocabulary
 
 #: Labelled findings of each class used to fit, at most about (chosen by a hash of document and place).
@@ -215,9 +215,8 @@ def scan(docs: DataFrame, path: str = "source", findings: DataFrame | None = Non
     prior = counts.get(1, 0) / sum(counts.values()) if counts else 0.0
     score: DataFrame | None = None
     if counts.get(0) and counts.get(1):
-        part = {k: int(min(1.0, per_class / n) * 1_000_000) for k, n in counts.items()}
-        limit = F.when(F.col("label") == 1, part[1]).otherwise(part[0])
-        chosen = stored(known.where(F.pmod(F.xxhash64("doc_id", "start"), F.lit(1_000_000)) < limit))
+        limit = F.when(F.col("label") == 1, F.lit(limit_for(per_class, counts[1]))).otherwise(F.lit(limit_for(per_class, counts[0])))
+        chosen = stored(known.where(spread_bits("doc_id", "start") < limit))
         near = chosen.where(F.col("fold").isin(*_NEIGHBOUR_FOLDS)).select("label", F.explode(_units()).alias("unit"))
         table = near.groupBy("unit").agg(F.sum("label").alias("yes"), F.count(F.lit(1)).alias("all")).where("all >= 5")
         odds = F.log((F.col("yes") + 0.5) / (F.col("all") - F.col("yes") + 0.5))

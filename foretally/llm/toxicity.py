@@ -26,7 +26,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import limit_for, spread_bits, stored
 
 #: At most about so many labelled rows are used to fit (chosen by a hash of their id); lexicon entries kept.
 LABELLED = 16_000
@@ -37,6 +37,8 @@ _SURE = 5.0
 _NEARNESS = 4
 _TREES, _DEPTH, _RATE = 24, 4, 0.2
 _CACHE = 200_000
+#: Letters of a word at most; longer runs of letters are looked up from every letter on.
+LONGEST_WORD = 40
 
 #: Second-person words of the languages in use.
 SECOND_PERSON = frozenset("you your yours yourself u ur du dich dir dein deine deiner ihr euch tu toi te ton ta tes vous votre vos tú ti usted ustedes vosotros tus".split())
@@ -59,6 +61,16 @@ def plain_word(word: str) -> tuple[str, bool]:
     return letters, bool(known) and len(letters) >= 3 and "://" not in core and sum(map(str.isdigit, core)) <= 2 * len(known)
 
 
+def _parts(word: str) -> Iterator[str]:
+    """What a run of characters without blanks is made of: the letters between signs, and of letters too many for a word
+    what begins at each of them."""
+    for part in _SIGNS.split(word):
+        if len(part) > LONGEST_WORD:
+            yield from (part[i : i + 8] for i in range(len(part)))
+        elif len(part) < len(word):
+            yield part
+
+
 @dataclass(frozen=True)
 class Lexicon:
     """Weights of whole words (key ends in a blank) and word beginnings."""
@@ -80,9 +92,11 @@ class _Words(dict):
     def __missing__(self, word: str) -> float:
         if len(self) >= _CACHE:
             self.clear()
-        letters, disguised = plain_word(word[:200])
-        value = self.lexicon.of(letters) + 1000.0 * (letters in SECOND_PERSON) + 2000.0 * disguised
-        self[word] = value
+        letters, disguised = plain_word(word)
+        forms = {letters, *_parts(word)}
+        value = max(map(self.lexicon.of, forms)) + 1000.0 * any(f in SECOND_PERSON for f in forms) + 2000.0 * disguised
+        if len(word) <= 100:
+            self[word] = value
         return value
 
 
@@ -180,9 +194,8 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Model
     known = labels.where("toxic is not null and doc_id is not null").select("doc_id", F.col("toxic").cast("int").alias("toxic"), fold().alias("fold"))
     known = known.where(F.col("fold") != HELD_OUT)
     n = known.count()
-    part = min(1.0, labelled / n) if n else 0.0
-    chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(part * 1_000_000))  # about `labelled` rows: small enough to broadcast
-    texts = docs.select(F.col("doc_id").alias("__id"), "text").join(F.broadcast(chosen), F.col("__id") == F.col("doc_id"))
+    chosen = stored(known.where(spread_bits("doc_id") < F.lit(limit_for(labelled, n))))  # its files tell the optimizer its size
+    texts = docs.select(F.col("doc_id").alias("__id"), "text").join(chosen, F.col("__id") == F.col("doc_id"))
     rows = stored(texts.select("text", "toxic", "fold"))
     counts = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     prior = counts.get(1, 0) / sum(counts.values()) if counts else 0.0

@@ -91,6 +91,39 @@ def test_expected_counts_are_slopes_of_the_likelihood():
         assert found[k] == pytest.approx(slope, rel=1e-3)
 
 
+def test_words_of_any_length_are_summed_whole():
+    pieces, index = language.pieces_of(), {p: i for i, p in enumerate(language.vocabulary())}
+    prob = np.random.default_rng(3).random((2, pieces.n + 1))
+    prob /= prob.sum(axis=1, keepdims=True)
+    words = ["▁" + ("unglaublichenation" * 3)[:40], "▁" + "x" * 40, "▁the", "▁" + "therestation" * 8]
+    want = [[brute_forward(w, p, index) for p in prob] for w in words]
+    assert np.allclose(language.log_probability(words, prob, pieces), want, rtol=1e-9)
+    count = np.array([2.0, 1.0, 3.0, 1.0])
+    found = language.expected_uses(words, count, prob[0], pieces)
+    for k in [*np.argsort(-found[:-1])[:5], pieces.n]:
+        moved = prob[0].copy()
+        moved[k] *= 1 + 1e-6
+        slope = (count * (language.log_probability(words, moved[None], pieces) - language.log_probability(words, prob[:1], pieces))[:, 0]).sum() / 1e-6
+        assert found[k] == pytest.approx(slope, rel=1e-3)
+    far = language.log_probability(["▁" + "中" * 5_000], prob * 0 + 1e-7, pieces)
+    assert np.isfinite(far).all() and far[0, 0] <= 5_000 * np.log(2e-7) * 0.999
+
+
+def test_bounded_samples_of_large_classes_are_not_empty(spark):
+    from foretally.llm.common import limit_for, spread_bits
+
+    assert limit_for(1_500, 10**10) / (1 << 60) == pytest.approx(1_500 / 10**10) and limit_for(10, 3) == 1 << 60 and limit_for(10, 0) == 1 << 60
+    rows = spark.range(100_000)
+    assert 800 < rows.where(spread_bits("id") < limit_for(1_000, 100_000)).count() < 1_200
+
+
+def test_lexicon_words_inside_long_runs():
+    words = toxicity._Words(toxicity.Lexicon({"idiot ": 3.0, "idio": 2.0}))
+    assert words["idiot"] == 3.0 and words["x" * 250 + ".idiot"] % 1000 == 3.0 and words["well.idiot.you"] % 2000 == 1003.0
+    assert words["x" * 250 + "idiotic" + "y" * 90] % 1000 == 2.0 and words["plain-word"] % 1000 == 0
+    assert toxicity.features("x" * 250 + ".idiot", words)[3] > 0
+
+
 def test_language_query_on_the_held_out_fold(spark):
     from foretally.llm.queries import op7_language
     from tests.conftest import SF
