@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import stored
+from .common import numbered, stored
 
 SMALLEST, LARGEST = 768, 8192
 #: Cut after one of these letters and a blank or line end; what follows the largest size is cut anyway.
@@ -60,12 +60,12 @@ def recipes(docs: DataFrame, bits: int = 64) -> DataFrame:
     if shared.isEmpty():  # every hash stands for one chunk text: hashes are the identifiers
         return plain
     same = stored(clashes(docs, shared, bits))
-    numbered = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), text.alias("text"))
-    pieces = numbered.select("row", F.posexplode(chunks("text")).alias("pos", "chunk"))
+    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), text.alias("text"))
+    pieces = rows.select("row", F.posexplode(chunks("text")).alias("pos", "chunk"))
     pieces = pieces.withColumn("hash", chunk_hash(F.col("chunk"), bits)).join(same, ["hash", "chunk"])
     extra = pieces.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("pos", "number"))).alias("numbers"))
     whole = F.transform(F.coalesce("numbers", F.array()), lambda x: x["pos"].cast("long") * (1 << 31) + x["number"])
-    both = numbered.join(extra, "row", "left").withColumn("hashes", F.transform(chunks("text"), lambda c: chunk_hash(c, bits)))
+    both = rows.join(extra, "row", "left").withColumn("hashes", F.transform(chunks("text"), lambda c: chunk_hash(c, bits)))
     return both.select("doc_id", F.sha2("text", 256).alias("text_sha256"), F.concat(F.array(F.size("hashes").cast("long")), "hashes", whole).alias("recipe"))
 
 
@@ -83,15 +83,16 @@ def groups(docs: DataFrame, bits: int = 64) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame, bits: int = 64) -> DataFrame:
-    """The documents that stay, one for each text, with all their columns."""
+    """The documents that stay, one for each text, with all their columns, whatever their names."""
     found = stored(groups(docs, bits))
-    key = [F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")]
-    sha = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (sha == F.col("__sha"))
-    rows = docs.join(found.where("kept").select(*key), same, "left_semi")
+    key = [F.col("doc_id").alias("id"), F.col("text_sha256").alias("sha")]
+    every, names = numbered(docs)
+    doc_id, text = F.col(names["doc_id"]), F.col(names["text"])
+    same = doc_id.eqNullSafe(F.col("id")) & (F.sha2(F.coalesce(text, F.lit("")), 256) == F.col("sha"))
+    rows = every.join(found.where("kept").select(*key), same, "left_semi")
     repeated = stored(found.where(~F.col("kept") & F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(*key).distinct())
-    if repeated.isEmpty():
-        return rows
-    # Rows that repeat both id and text: one of each stays.
-    once = rows.join(repeated, same, "left_semi").groupBy("doc_id", "text").agg(F.first(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("__row"))
-    return rows.join(repeated, same, "left_anti").unionByName(once.select("__row.*"))
+    if not repeated.isEmpty():
+        # Rows that repeat both id and text: one of each stays.
+        once = rows.join(repeated, same, "left_semi").groupBy(doc_id, text).agg(F.first(F.struct(*names.values())).alias("row"))
+        rows = rows.join(repeated, same, "left_anti").unionByName(once.select("row.*"))
+    return rows.select(*[F.col(n).alias(c) for c, n in names.items()])

@@ -6,7 +6,7 @@ hash. What remains is one threshold per source, and the documents are filtered b
 
 Defined results: a null text has size 0; null is a source of its own, last in order; an empty table gives an empty mix;
 rows that repeat, and rows with equal doc_id, get equal decisions; columns of the input other than doc_id, text and
-source pass through `apply_plan` untouched, whatever their names, but for those of `PLAN_COLUMNS`.
+source pass through `mixed_documents` untouched, whatever their names; `apply_plan` replaces those of `PLAN_COLUMNS`.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD, running_totals, stored
+from .common import WORD, numbered, running_totals, stored
 
 #: Weights by rank of the source, repeating; share of all words to give out; most copies of a document.
 WEIGHTS = (3, 1, 2)
@@ -126,6 +126,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
 def mixed_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE, copies: int = COPIES) -> DataFrame:
     """The documents themselves, each as often as the mix takes it."""
     thresholds = plan(sized(docs), weights, share, copies)
-    out = apply_plan(docs, thresholds)
-    repeat = F.explode(F.array_repeat(F.lit(1), F.col("copies"))).alias("__copy")
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns], repeat).drop("__copy")
+    rows, names = numbered(docs)
+    out = apply_plan(rows, thresholds, names["source"], spread(F.col(names["doc_id"]).cast("string")))
+    repeat = F.explode(F.array_repeat(F.lit(1), F.col("copies"))).alias("copy")
+    return out.select(*names.values(), repeat).select(*[F.col(n).alias(c) for c, n in names.items()])

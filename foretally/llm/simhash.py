@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import roots, stored
+from .common import numbered, roots, stored
 from .components import components
 
 SHINGLE = 3
@@ -242,6 +242,7 @@ def hexadecimal(fp: str) -> Column:
 def kept_documents(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """One document of each component, that of the smallest doc_id, with all columns; rows that repeat both id and text
     count as one document."""
-    gone = near_duplicates(docs, shingle).where("not kept").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__key"))
-    return docs.join(stored(gone.distinct()), same, "left_anti")
+    gone = near_duplicates(docs, shingle).where("not kept").select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"))
+    rows, names = numbered(docs)
+    same = F.col(names["doc_id"]).cast("long").eqNullSafe(F.col("id")) & (F.xxhash64(names["text"]) == F.col("key"))
+    return rows.join(stored(gone.distinct()), same, "left_anti").select(*[F.col(n).alias(c) for c, n in names.items()])

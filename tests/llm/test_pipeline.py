@@ -1,6 +1,9 @@
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from foretally.llm import exact, mixing, simhash, toxicity
 from foretally.llm.common import drop_scratch, stored, table
+from foretally.llm.queries import QUERIES, SQL
 from tests.conftest import SF
 from tests.llm.test_simhash import brute_components, brute_fingerprint
 
@@ -49,6 +52,25 @@ def test_clashing_columns_pass_through(spark):
     assert mixing.mixed_documents(docs).columns == docs.columns
 
 
+def test_columns_named_like_those_the_stages_add(spark):
+    rows = [(1, "a b c d", "s", "mine", 1), (2, "a b c d", "s", "yours", 2), (2, "a b c d", "s", "yours", 2), (3, "other words are in here", None, "x", 3)]
+    names = ["target", "copies", "source_size", "threshold", "copy", "__id", "__sha", "__key", "id", "sha", "key", "row", "a.b", "__c0"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, value string, n int")
+    for name in names:
+        docs = docs.withColumn(name, F.col("value"))
+    for kept in (exact.kept_documents(docs), simhash.kept_documents(docs), mixing.mixed_documents(docs)):
+        assert kept.columns == docs.columns
+        found = kept.collect()
+        assert found and all(set(r[5:]) == {r.value} for r in found)
+    assert len(exact.kept_documents(docs).collect()) == 2
+
+
+def test_every_query_without_sql_is_known():
+    assert set(QUERIES) - set(SQL) == {
+        "op1_toxicity", "op2_simhash", "op3_lines", "op4_multi_index", "op5_repeats", "op7_language", "op9_packing", "op10_secret_scan", "op13_personal_data",
+    } and set(SQL) <= set(QUERIES) and corpus_pipeline.ORACLE_SQL is None
+
+
 def test_scratch_tables_can_be_dropped(spark):
     df = stored(spark.range(5).toDF("id"))
     assert df.count() == 5 and drop_scratch(spark) >= 1
