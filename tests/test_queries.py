@@ -2,10 +2,15 @@
 
 import datetime as dt
 import decimal
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 
 import __spark_entry__ as entry
+from foretally import catalog
+from oracles import all_sql
 
 from .conftest import SF
 
@@ -38,9 +43,26 @@ def test_query_matches_check(spark, duck, name):
 
 def test_every_check_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    rows_only = set(entry.queries()) - set(entry.oracle_sql())
+    rows_only = set(catalog.queries()) - set(all_sql())
     assert rows_only == {"ml_train_boosted", "ml_train_forest", "ml_importances", "ml_select_features", "ml_stacking", "ml_platt", "ml_isotonic", "ml_permutation"}
 
 
+def test_entry_without_the_training_data_package():
+    code = """
+import sys
+class Blocked:
+    def find_spec(self, name, path=None, target=None):
+        if name.startswith("foretally.llm"):
+            raise ModuleNotFoundError(name)
+sys.meta_path.insert(0, Blocked())
+import __spark_entry__ as entry
+from foretally import catalog
+from oracles import all_sql
+from foretally import catalog
+assert set(entry.queries()) == set(catalog.queries()) and "pipeline" not in entry.queries()
+"""
+    subprocess.run([sys.executable, "-c", code], cwd=Path(entry.__file__).parent, check=True)
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
