@@ -264,6 +264,22 @@ def in_backfill(spark, d):
     return spark.read.parquet(path).drop("day")
 
 
+def in_backfill_reads(spark, d):
+    """Rows each yearly chunk of that run reads: games of its own year, and one row of state per team and year."""
+    from .plans.registry import shared_dir
+    import uuid
+
+    seen = []
+
+    def note(c):
+        games, state = c.rows_read("stg_games")
+        seen.append((c.start, c.end, games, state))
+
+    path = f"{shared_dir(spark)}/backfill-{uuid.uuid4().hex[:8]}"
+    incremental.backfill(spark, staging_from_star(spark, d), "int_team_clutch_perf", path, date(1995, 1, 1), date(1999, 1, 1), None, note)
+    return spark.createDataFrame(seen, "chunk_start date, chunk_end date, game_rows long, state_rows long")
+
+
 def in_table_diff(spark, d):
     g = _models(spark, d).games.select("game_id", "game_date", "home_score", "away_score")
     b = g.filter("game_id % 11 <> 0").withColumn("home_score", F.when(F.col("game_id") % 5 == 0, 0).otherwise(F.col("home_score"))).unionByName(
@@ -285,4 +301,4 @@ QUERIES = {f.__name__.removesuffix("_query"): f for f in (
     latest_n_asof_query, pair_rows_query, entity_rows_query, feature_view, game_feature_view, wr_upsert, wr_append_new, wr_only_new_keys, wr_patch, wr_replace_keys,
     wr_replace_interval, wr_activate, dq_lineitem_rules, dq_orders_rules, dq_game_rules, dq_profile, dq_histogram, dq_drift, dq_anomalies,
     dq_freshness, dq_training_report, dq_rows_per_year, dq_raw_load_report, dq_injury_matching, dq_date_alignment, dq_fallback,
-    in_interval_run, in_backfill, in_table_diff, in_coverage, in_best_version)}
+    in_interval_run, in_backfill, in_backfill_reads, in_table_diff, in_coverage, in_best_version)}

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .operators.carry import Carry, complete
 from .operators.merge import write_interval
 from .plans.registry import Models
 
@@ -35,21 +37,52 @@ def bundle(days: list[date], size: int = 30) -> list[tuple[date, date]]:
     return [(part[0], part[-1] + timedelta(days=1)) for part in (s[i : i + size] for i in range(0, len(s), size))]
 
 
+@dataclass(frozen=True)
+class Chunk:
+    """A finished chunk [start, end) and what it read: rows of the inputs by name, and rows of state by history operator."""
+
+    start: date
+    end: date
+    inputs: dict[str, DataFrame]
+    states: dict[str, DataFrame]
+
+    def rows_read(self, *names: str) -> tuple[int, int]:
+        """Rows of the named inputs, and of all states."""
+        return sum(self.inputs[n].count() for n in names), sum(s.count() for s in self.states.values())
+
+
+def model_path(path: str, names: str | list[str], name: str) -> str:
+    return path if isinstance(names, str) else f"{path}/{name}"
+
+
 def backfill(
-    spark: SparkSession, inputs: dict[str, DataFrame], name: str, path: str, start: date, end: date, days: int | None = 30,
-    on_chunk: Callable[[date, date], None] | None = None,
+    spark: SparkSession, inputs: dict[str, DataFrame], names: str | list[str], path: str, start: date, end: date, days: int | None = 30,
+    on_chunk: Callable[[Chunk], None] | None = None,
 ) -> int:
-    """Run a model chunk by chunk into a table partitioned by day; the first failure stops the run.
+    """Run models chunk by chunk into tables partitioned by day; the first failure stops the run.
+
+    A chunk reads its own days and the state that the chunk before left: partial sums per key, the last rows of each
+    entity, runs that are still open (`operators.carry`). The first chunk reads all days before it. Totals over the whole
+    history (season totals, league medians) come from one pass over [first day, end), so the tables equal a run over all days.
 
-    Each chunk overwrites its own days only, so a stopped run is resumed by
-    starting again at the chunk that failed. Returns the number of chunks done.
+    Each chunk replaces its own days, and its states are marked complete last. A stopped run is resumed by starting again
+    at the chunk that failed, and a finished one is extended by starting at its end; both read the state at `start`. A single name is
+    written to `path`, several to a folder each. Returns the number of chunks done.
     """
-    done = 0
+    states, done = f"{path}/_states", 0
+    whole = Models(spark, inputs, end=end.isoformat())
+    before = start if complete(spark, states, start) else None
     for lo, hi in chunks(start, end, days):
-        write_interval(run_interval(spark, inputs, name, lo.isoformat(), hi.isoformat()), path, "game_date")
-        done += 1
+        carry = Carry(spark, states, lo, hi, before)
+        m = Models(spark, inputs, start=lo.isoformat(), end=hi.isoformat(), carry=carry, whole=whole)
+        for name in [names] if isinstance(names, str) else names:
+            write_interval(m.output(name), model_path(path, names, name), "game_date", lo, hi)
+        carry.commit()
         if on_chunk:
-            on_chunk(lo, hi)
+            on_chunk(Chunk(lo, hi, m.inputs, carry.read))
+        m.close()
+        done, before = done + 1, hi
+    whole.close()
     return done
 
 

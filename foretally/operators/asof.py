@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .carry import earlier_rows, latest
+
 
 def asof_day(
     left: DataFrame,
@@ -21,12 +23,13 @@ def asof_day(
     Both sides shrink to one row per (by, day) before the window, so a busy key
     costs one row per day; the fact rows are only joined on (by, day).
     """
-    latest = right.groupBy(*by, day).agg(
+    newest = right.groupBy(*by, day).agg(
         F.max_by(F.struct(F.col(day).alias("_seen"), *cols), F.struct(*tie)).alias("_row")
     )
+    newest = latest(newest, by, day)
     asked = left.select(*by, day).distinct()
     order = Window.partitionBy(*by).orderBy(day).rowsBetween(Window.unboundedPreceding, -1 if strict else 0)
-    found = asked.withColumn("_ask", F.lit(True)).join(latest, [*by, day], "full").select(
+    found = asked.withColumn("_ask", F.lit(True)).join(newest, [*by, day], "full").select(
         *by, day, "_ask", F.last("_row", ignorenulls=True).over(order).alias("_hit")
     )
     hits = found.filter("_ask")
@@ -106,10 +109,11 @@ def latest_n_asof(
     """
     from .history import ranked
 
-    r = ranked(right, by, right_day, tie, "_pos")
+    new = ranked(right, by, right_day, tie, "_pos")
+    r = earlier_rows(new, by, "_pos", n).drop("_old")
     r = r.withColumn("_block", F.floor((F.col("_pos") - 1) / n).cast("long"))
     # State of the key at the end of each report day: how many rows are known.
-    upto = r.groupBy(*by, right_day).agg(F.max("_pos").alias("_known")).withColumnRenamed(right_day, "_d")
+    upto = latest(new.groupBy(*by, right_day).agg(F.max("_pos").alias("_known")), by, right_day).withColumnRenamed(right_day, "_d")
     asked = left.select(*by, day).distinct().withColumn("_d", F.date_add(F.col(day), lag_days))
     order = Window.partitionBy(*by).orderBy("_d").rowsBetween(Window.unboundedPreceding, 0)
     known = (

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import col
+from .carry import earlier_days, earlier_rows, latest
 
 BLOCK_ROWS = 500_000
 _START = Window.unboundedPreceding
@@ -80,21 +81,40 @@ def prior_days(facts: DataFrame, by: list[str], day: str, measures: list[Measure
     `facts`; join it back to the rows that ask.
     """
     daily = facts.groupBy(*by, day).agg(*_partials(measures))
+    merge = {c: {"_x_": m.fn}.get(c[:3], "sum") for m in measures for c in daily.columns if c in {f"_{k}_{m.name}" for k in "snqx"}}
+    daily = earlier_days(daily, by, day, merge, max((m.days or 0 for m in measures), default=0))
     return daily.selectExpr(*by, day, *[f"{_combined(m, by, day)} as `{m.name}`" for m in measures])
 
 
-def _day_offsets(df: DataFrame, by: list[str], day: str) -> DataFrame:
-    daily = df.groupBy(*by, day).agg(F.count(F.lit(1)).alias("_in_day"))
-    w = Window.partitionBy(*by).orderBy(day).rowsBetween(_START, -1)
-    return daily.withColumn("_before", F.coalesce(F.sum("_in_day").over(w), F.lit(0)))
+def _keyed(df: DataFrame, by: list[str], day: str) -> DataFrame:
+    """Adds `_key`, the keys and day as one value that is never null: a join on it keeps rows whose key or day is null."""
+    return df.withColumn("_key", F.struct(*[F.col(c) for c in (*by, day)]))
+
+
+def _totals_before(df: DataFrame, by: list[str], day: str, sums: dict[str, Column]) -> DataFrame:
+    """`_key`, the sums of each day, and as `_c_*` those of all earlier days; an unknown day comes after every other."""
+    daily = df.groupBy(*by, day).agg(*[c.alias(n) for n, c in sums.items()])
+    daily = earlier_days(daily, by, day, dict.fromkeys(sums, "sum"))
+    before = Window.partitionBy(*by).orderBy(F.col(day).asc_nulls_last()).rowsBetween(_START, -1)
+    table = daily.select(*by, day, *sums, *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_c_{n}") for n in sums])
+    return _keyed(table, by, day).drop(*by, day)
+
+
+def _nulls_last(tie: list[str | Column]) -> list[Column]:
+    return [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in tie]
 
 
 def ranked(df: DataFrame, by: list[str], day: str, tie: list[str], name: str = "_rn") -> DataFrame:
-    """Add the 1-based position of each row in its entity's history."""
-    in_day = Window.partitionBy(*by, day).orderBy(*tie)
-    return df.join(_day_offsets(df, by, day), [*by, day]).withColumn(
+    """Add the 1-based position of each row in its entity's history.
+
+    A null key is an entity like others; rows of unknown day come last, and nulls in `tie` last within a day.
+    """
+    keyed = _keyed(df, by, day)
+    in_day = Window.partitionBy("_key").orderBy(*_nulls_last(tie))
+    offsets = _totals_before(df, by, day, {"_in_day": F.count(F.lit(1))}).withColumnRenamed("_c__in_day", "_before")
+    return keyed.join(offsets, "_key").withColumn(
         name, (F.col("_before") + F.row_number().over(in_day)).cast("long")
-    )
+    ).drop("_key")
 
 
 def prior_rows(
@@ -115,7 +135,8 @@ def prior_rows(
     size = max(block_rows or BLOCK_ROWS, depth + 1)
     own = F.floor((F.col("_rn") - 1) / F.lit(size)).cast("long")
     pos = F.pmod(F.col("_rn") - 1, F.lit(size))
-    cut = ranked(df, by, day, tie).withColumn("_own", own)
+    placed = earlier_rows(ranked(df, by, day, tie), by, "_rn", depth)
+    cut = placed.withColumn("_own", own)
     cut = cut.withColumn(
         "_blk",
         F.explode(
@@ -128,23 +149,20 @@ def prior_rows(
         return order if lo is None else order.rowsBetween(lo, hi)
 
     named = exprs(w)
-    out = cut.select("*", *[c.alias(n) for n, c in named.items()]).filter(F.col("_blk") == F.col("_own"))
+    out = cut.select("*", *[c.alias(n) for n, c in named.items()]).filter((F.col("_blk") == F.col("_own")) & ~F.col("_old"))
     return out.select(*df.columns, *(["_rn", "_before", "_in_day"] if keep_rank else []), *named)
 
 
 def running(
     df: DataFrame, by: list[str], day: str, tie: list[str], sums: dict[str, Column], inclusive: bool = False
 ) -> DataFrame:
-    """Add running sums over all earlier rows of the entity (0 at the start)."""
-    daily = df.groupBy(*by, day).agg(*[F.sum(c).alias(f"_d_{n}") for n, c in sums.items()])
-    before = Window.partitionBy(*by).orderBy(day).rowsBetween(_START, -1)
-    carry = daily.select(
-        *by, day, *[F.coalesce(F.sum(f"_d_{n}").over(before), F.lit(0)).alias(f"_c_{n}") for n in sums]
-    )
-    inside = Window.partitionBy(*by, day).orderBy(*tie).rowsBetween(_START, 0 if inclusive else -1)
-    return df.join(carry, [*by, day]).select(
+    """Add running sums over all earlier rows of the entity (0 at the start); nulls count as in `ranked`."""
+    keyed = _keyed(df, by, day)
+    carry = _totals_before(df, by, day, {f"_d_{n}": F.sum(c) for n, c in sums.items()}).drop(*[f"_d_{n}" for n in sums])
+    inside = Window.partitionBy("_key").orderBy(*_nulls_last(tie)).rowsBetween(_START, 0 if inclusive else -1)
+    return keyed.join(carry, "_key").select(
         *df.columns,
-        *[(F.col(f"_c_{n}") + F.coalesce(F.sum(c).over(inside), F.lit(0))).alias(n) for n, c in sums.items()],
+        *[(F.col(f"_c__d_{n}") + F.coalesce(F.sum(c).over(inside), F.lit(0))).alias(n) for n, c in sums.items()],
     )
 
 
@@ -174,6 +192,7 @@ def rows_before_day(
     after = rows.filter(F.col("_rn") == F.col("_before") + F.col("_in_day")).select(
         *by, day, F.struct(*named).alias("_after")
     )
+    after = latest(after, by, day)
     prev = Window.partitionBy(*by).orderBy(day).rowsBetween(_START, -1)
     if probes is not None:
         after = after.join(probes.select(*by, day).distinct(), [*by, day], "full")

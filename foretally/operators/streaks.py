@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .carry import active
+
 _START = Window.unboundedPreceding
 
 
@@ -34,6 +36,10 @@ def streak_before(
     closing = rows.groupBy(*by, day).agg(
         F.max_by(F.struct(st.alias("state"), F.col("_run").alias("run"), *[F.col(f"_at_{n}").alias(n) for n in sums]), "_i").alias("c")
     )
+    history = active()
+    name, ended = history.call() if history else ("", None)
+    if ended is not None:
+        closing = closing.unionByName(ended.select(closing.columns))
     days = Window.partitionBy(*by).orderBy(day)
     chain = closing.select(*by, day, "c", F.lag("c.state").over(days).alias("_ps"), F.lag("c.run").over(days).alias("_pr"))
     # A day continues the chain when it is one run of the state the day before closed with.
@@ -43,6 +49,11 @@ def streak_before(
     chain = chain.select(
         *by, day, F.struct(F.col("c.state").alias("state"), *[F.sum(f"c.{n}").over(seg).alias(n) for n in sums]).alias("_end")
     )
+    if history:
+        # the run each entity is in, as a day that was one single run
+        last = chain.groupBy(*by).agg(F.max(day).alias(day), F.max_by("_end", day).alias("_e"))
+        kinds = closing.schema["c"].dataType
+        history.keep(name, last.select(*by, day, F.struct(F.col("_e.state").alias("state"), F.lit(0).alias("run"), *[F.col(f"_e.{n}").alias(n) for n in sums]).cast(kinds).alias("c")))
     carry = chain.select(*by, day, F.lag("_end").over(days).alias("_carry"))
 
     here = F.lag(

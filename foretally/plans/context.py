@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import flag, half_up, nvl, ratio, with_scalars
+from ..operators.carry import earlier_days
 from ..operators.entity_rows import to_game_rows
 from ..operators.history import Measure, attach, prior_days, prior_rows, ranked, rows_before_day, running
 from .core import ORDER
@@ -391,6 +392,8 @@ def playoff_race(m: Models) -> DataFrame:
     lost = _decided() & (F.col("is_win") == 0)
     daily = m.tg.groupBy("team_id", DAY).agg(
         F.sum("is_win").alias("w"), F.sum(flag(lost)).alias("l"), F.count(F.lit(1)).alias("g"))
+    # In a run by chunks each team's record so far is one more row on the day before the chunk.
+    daily = earlier_days(daily, ["team_id"], DAY, {"w": "sum", "l": "sum", "g": "sum"})
     # Every day from a team's first game on, kept where somebody played: days per team, no product of tables.
     span = daily.groupBy("team_id").agg(F.min(DAY).alias("first_day"))
     last = daily.agg(F.max(DAY).alias("last_day"))

@@ -122,7 +122,7 @@ def team_game_context(m: Models) -> DataFrame:
     return m.tg.join(mine, ["game_id", "team_id"], "left").join(other, ["game_id", "opp_id"], "left")
 
 
-@model("int_team_season_stats", table=True)
+@model("int_team_season_stats", table=True, whole=True)
 def team_season_stats(m: Models) -> DataFrame:
     win, home = F.col("is_win") == 1, F.col("is_home")
     lost = F.col("winner_team_id").isNotNull() & (F.col("is_win") == 0)

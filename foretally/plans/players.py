@@ -18,7 +18,7 @@ def _appearances(m: Models) -> DataFrame:
     return m["stg_player_boxscores"].filter("minutes_played > 0").drop("game_date").join(done, "game_id")
 
 
-@model("int_star_players", table=True)
+@model("int_star_players", table=True, whole=True)
 def star_players(m: Models) -> DataFrame:
     # A player has one row per game, so counting rows per (player, game) first keeps the distinct count exact and cheap.
     per_game = _appearances(m).groupBy("player_id", "team_id", "game_id").agg(

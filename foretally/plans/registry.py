@@ -14,19 +14,27 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.carry import Carry, nothing_carried
 from ..operators.entity_rows import to_entity_rows
 
 _BUILDERS: dict[str, Callable[[Models], DataFrame]] = {}
 _TABLES: set[str] = set()
+_WHOLE: set[str] = set()
 
 
-def model(name: str, table: bool = False):
-    """Register a model; `table=True` writes it once per `Models` object."""
+def model(name: str, table: bool = False, whole: bool = False):
+    """Register a model; `table=True` writes it once per `Models` object.
+
+    `whole=True` marks totals over the whole history (a row per team, player, year or league): a run in chunks takes them
+    from one pass over all days, as every row of a run over all days does.
+    """
 
     def add(fn):
         _BUILDERS[name] = fn
         if table:
             _TABLES.add(name)
+        if whole:
+            _WHOLE.add(name)
         return fn
 
     return add
@@ -61,9 +69,12 @@ class Models:
     all, rows before `start` serve as history and are dropped from the output.
     """
 
-    def __init__(self, spark: SparkSession, inputs: dict[str, DataFrame], start=None, end=None, as_of=None):
+    def __init__(
+        self, spark: SparkSession, inputs: dict[str, DataFrame], start=None, end=None, as_of=None, carry: Carry | None = None, whole: Models | None = None
+    ):
         self.spark = spark
         self.start, self.end, self.as_of = start, end, as_of
+        self.carry, self.whole = carry, whole
         self.inputs = {k: self._cut(v) for k, v in inputs.items()}
         self._built: dict[str, DataFrame] = {}
         self._root: str | None = None
@@ -80,9 +91,15 @@ class Models:
         self._root, self._built = None, {}
 
     def _cut(self, df: DataFrame) -> DataFrame:
-        if self.end is None or "game_date" not in df.columns:
+        """With carried state, rows of earlier chunks are not read. Injury reports count up to the day after a game."""
+        day, late = ("game_date", 0) if "game_date" in df.columns else ("capture_date", 1)
+        if day not in df.columns:
             return df
-        return df.filter(F.col("game_date") < F.lit(self.end).cast("date"))
+        if self.end is not None and (day == "game_date" or self.carry):
+            df = df.filter(F.col(day) < F.date_add(F.lit(self.end).cast("date"), late))
+        if self.carry and self.carry.before is not None:
+            df = df.filter(F.col(day) >= F.date_add(F.lit(self.start).cast("date"), late))
+        return df
 
     @staticmethod
     def names() -> list[str]:
@@ -91,8 +108,11 @@ class Models:
     def __getitem__(self, name: str) -> DataFrame:
         if name in self.inputs:
             return self.inputs[name]
+        if self.whole and name in _WHOLE:
+            return self.whole[name]
         if name not in self._built:
-            df = _BUILDERS[name](self)
+            with self.carry.of(name) if self.carry else nothing_carried():
+                df = _BUILDERS[name](self)
             self._built[name] = self.written(df, name) if name in _TABLES else df
         return self._built[name]
 

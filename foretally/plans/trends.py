@@ -155,8 +155,9 @@ def medians(df: DataFrame, cols: dict[str, str], by: list[str] | None = None) ->
     return out
 
 
-@model("int_team_matchup_perf")
-def matchup_style(m: Models) -> DataFrame:
+@model("league_recent_form", table=True, whole=True)
+def league_recent_form(m: Models) -> DataFrame:
+    """One row: league medians over the last 30 days."""
     rolling = m["int_team_rolling_stats"].filter("rolling_10_pace is not null")
     # The league view is the last 30 days before a given day, by default the last day in the data.
     last = m["stg_games"].agg(F.max("game_date").alias("last_day")) if m.as_of is None else None
@@ -164,8 +165,12 @@ def matchup_style(m: Models) -> DataFrame:
         recent = rolling.filter(F.col("game_date") >= F.date_sub(F.lit(m.as_of).cast("date"), 30))
     else:
         recent = with_scalars(rolling, last).filter(F.col("game_date") >= F.date_sub("last_day", 30))
-    league = medians(recent, {"rolling_10_pace": "med_pace", "rolling_10_off_rtg": "med_off", "rolling_10_def_rtg": "med_def"})
-    rows = with_scalars(m["team_game_context"].filter("winner_team_id is not null"), league)
+    return medians(recent, {"rolling_10_pace": "med_pace", "rolling_10_off_rtg": "med_off", "rolling_10_def_rtg": "med_def"})
+
+
+@model("int_team_matchup_perf")
+def matchup_style(m: Models) -> DataFrame:
+    rows = with_scalars(m["team_game_context"].filter("winner_team_id is not null"), m["league_recent_form"])
     pace, off, dfn = nvl("o_pace10", 95.0), nvl("o_off10", 110.0), nvl("o_def10", 110.0)
     mp, mo, md = nvl("med_pace", 95.0), nvl("med_off", 110.0), nvl("med_def", 110.0)
     styles = {"fast_paced": pace > mp, "slow_paced": pace < mp, "high_scoring": off > mo, "defensive": dfn < md}
@@ -253,11 +258,16 @@ def steps(gap: Column) -> Column:
     return F.when(gap <= 2.0 + e, 1.0).when(gap <= 5.0 + e, 0.75).when(gap <= 10.0 + e, 0.5).otherwise(0.25)
 
 
+@model("league_form", table=True, whole=True)
+def league_form(m: Models) -> DataFrame:
+    """One row: league medians over all different forms."""
+    r = m["int_team_rolling_stats"].select("rolling_10_pace", "rolling_10_off_rtg", "rolling_10_def_rtg").na.drop().distinct()
+    return medians(r, {"rolling_10_off_rtg": "med_off", "rolling_10_def_rtg": "med_def"})
+
+
 @model("int_team_matchup_compat")
 def matchup_compatibility(m: Models) -> DataFrame:
-    r = m["int_team_rolling_stats"].select("rolling_10_pace", "rolling_10_off_rtg", "rolling_10_def_rtg").na.drop().distinct()
-    league = medians(r, {"rolling_10_off_rtg": "med_off", "rolling_10_def_rtg": "med_def"})
-    rows = with_scalars(m["team_game_context"].filter("is_home"), league)
+    rows = with_scalars(m["team_game_context"].filter("is_home"), m["league_form"])
     v = {c: nvl(c, 100.0) for c in ("pace10", "off10", "def10", "o_pace10", "o_off10", "o_def10")}
 
     def fit(off: Column, dfn: Column) -> Column:
@@ -276,14 +286,22 @@ def matchup_compatibility(m: Models) -> DataFrame:
     )
 
 
-@model("int_team_perf_by_pace_ctx")
-def pace_context(m: Models) -> DataFrame:
+def game_pace(m: Models) -> DataFrame:
     box = box_rows(m).filter("winner_team_id is not null")
-    pace = box.groupBy("game_id").agg(
+    return box.groupBy("game_id").agg(
         (F.sum("possessions") / 2.0).alias("p"), F.count(F.lit(1)).alias("sides"), F.max("yr").alias("yr")
     ).filter("sides = 2").select("game_id", "yr", F.round("p", 6).alias("p"))
-    league = medians(pace, {"p": "med"}, ["yr"])
-    rows = m.tg.join(pace.drop("yr"), "game_id", "left").join(F.broadcast(league), "yr", "left")  # one row per year
+
+
+@model("league_pace", table=True, whole=True)
+def league_pace(m: Models) -> DataFrame:
+    """Median pace of a game, a row per year."""
+    return medians(game_pace(m), {"p": "med"}, ["yr"])
+
+
+@model("int_team_perf_by_pace_ctx")
+def pace_context(m: Models) -> DataFrame:
+    rows = m.tg.join(game_pace(m).drop("yr"), "game_id", "left").join(F.broadcast(m["league_pace"]), "yr", "left")  # one row per year
     rows = with_history(rows, ["team_id", "yr"], [*split("fast_pace_", F.col("p") > F.col("med")), *split("slow_pace_", F.col("p") <= F.col("med"))])
     return to_game_rows(m.games, rows, split_defaults("fast_pace_", "slow_pace_"))
 

@@ -109,6 +109,15 @@ SQL["dq_fallback"] = """select count(*) as games, count(*) filter (where x) as g
 
 SQL["in_interval_run"] = f"select * from ({MODELS['int_team_streaks']}) where game_date >= date '1997-01-01' and game_date < date '1998-01-01'"
 SQL["in_backfill"] = f"select * from ({MODELS['int_team_clutch_perf']}) where game_date >= date '1995-01-01' and game_date < date '1998-01-01'"
+SQL["in_backfill_reads"] = """
+select make_date(y, 1, 1) as chunk_start, make_date(y + 1, 1, 1) as chunk_end,
+       (select count(*) from games where game_date < make_date(y + 1, 1, 1) and (y = 1995 or game_date >= make_date(y, 1, 1))) as game_rows,
+       case when y = 1995 then 0 else (select count(*) from (select distinct team_id, yr from (
+           select home_team_id as team_id, year(game_date) as yr, game_date from games where home_score is not null and away_score is not null
+           union all select away_team_id, year(game_date), game_date from games where home_score is not null and away_score is not null)
+         where game_date < make_date(y, 1, 1))) end as state_rows
+from (select unnest([1995, 1996, 1997, 1998]) as y)
+"""
 _D = """select (select count(*) from games where game_id % 13 = 0) as added, count(*) filter (where game_id % 11 = 0) as removed, count(*) filter (where game_id % 11 <> 0) as shared, count(*) filter (where game_id % 11 <> 0 and game_id % 5 = 0) as ch from games"""
 SQL["in_table_diff"] = f"select c as column_name, added, removed, shared, case when c = 'home_score' then ch else 0 end as changed from ({_D}), (values ('game_date'), ('home_score'), ('away_score')) t(c)"
 SQL["in_coverage"] = f"select min(game_date) as first_day, max(game_date) as last_day, count(*) as rows, count(distinct year(game_date)) as years, {r('count(distinct year(game_date)) / 15.0')} as share_of_years from games"
