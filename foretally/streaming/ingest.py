@@ -6,38 +6,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.merge import append_new, upsert
+from ..operators.merge import read_parts, upsert_parts
 
 
 def stream_into(
-    spark: SparkSession, source: str, schema: T.StructType, target: str, checkpoint: str, key: list[str], order: list[str], mode: str = "upsert",
+    spark: SparkSession, source: str, schema: T.StructType, target: str, checkpoint: str, key: list[str], order: list[str], mode: str = "upsert", parts: int = 64,
 ) -> StreamingQuery:
     """Read newly landed parquet files once and merge each micro-batch into the target table.
 
-    The table lives under `target/v=<batch id>`; a batch reads the version
-    before it and writes its own, so a batch that is run twice gives the same table.
+    The table is laid out in `parts` folders by a hash of the key. A batch rewrites the folders it has keys for ("upsert") or
+    adds files with its new keys ("append"); run twice it gives the same table, as a retried batch must.
     """
-    merge = {"upsert": upsert, "append": append_new}[mode]
+    add_only = {"upsert": False, "append": True}[mode]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        s = batch.sparkSession
-        merged = batch if batch_id == 0 else None
-        if batch_id == 0:
-            merged = merge(s.createDataFrame([], batch.schema), batch, key, order)
-        else:
-            merged = merge(s.read.schema(batch.schema).parquet(f"{target}/v={batch_id - 1}"), batch, key, order)
-        merged.write.mode("overwrite").parquet(f"{target}/v={batch_id}")
+        upsert_parts(batch.sparkSession, target, batch, key, order, parts, add_only)
 
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000).parquet(source)
     return reader.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def latest(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
-    """The newest version of a streamed table."""
-    import re
-
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(target)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    ids = [int(m[1]) for f in fs.listStatus(path) if (m := re.search(r"v=(\d+)$", f.getPath().toString()))]
-    return spark.read.schema(schema).parquet(f"{target}/v={max(ids)}")
+    """The streamed table."""
+    return read_parts(spark, target, schema)
