@@ -39,18 +39,24 @@ def neutral(name: str, kind: T.DataType):
     return 0.0
 
 
+@model("game_keys", table=True, by="game_id")
+def game_keys(m: Models) -> DataFrame:
+    """The keys of all games, bucketed: what the pieces of a feature group are joined to."""
+    return m.games.select(*IDS)
+
+
 def join_on_game(m: Models, parts: list[DataFrame]) -> DataFrame:
     """Left joins on game_id only; every part comes hashed by game_id, so rows move once.
 
     Every join in a stage keeps sort buffers per task, so at most `AT_ONCE` parts are joined in one; what they give is
-    written before the next ones, and the written pieces are joined last.
+    written in buckets of game_id before the next ones. The written pieces are joined last, bucket by bucket, without moving a row.
     """
-    games, pieces = m.games, []
+    games, pieces = m["game_keys"], []
     for at in range(0, len(parts), AT_ONCE):
         piece = games.select("game_id")
         for p in parts[at : at + AT_ONCE]:
             piece = piece.join(p, "game_id", "left")
-        pieces.append(m.written(piece, "piece") if len(parts) > AT_ONCE else piece)
+        pieces.append(m.written(piece, "piece", "game_id") if len(parts) > AT_ONCE else piece)
     out = games.select(*IDS)
     for piece in pieces:
         out = out.join(piece, "game_id", "left")
@@ -78,12 +84,12 @@ BASIC = ("int_team_streaks", "int_team_streak_qual", "int_team_rest_days", "int_
          "int_team_ctx_streaks", "int_team_recent_mom_exp")
 
 
-@model("int_momentum_group_basic", table=True)
+@model("int_momentum_group_basic", table=True, by="game_id")
 def group_basic(m: Models) -> DataFrame:
     return join_on_game(m, [from_model(m, n, ("win_streak_length_diff",)) for n in BASIC])
 
 
-@model("int_momentum_group_h2h", table=True)
+@model("int_momentum_group_h2h", table=True, by="game_id")
 def group_h2h(m: Models) -> DataFrame:
     return join_on_game(m, [
         from_model(m, "int_team_h2h_stats", ("home_h2h_wins", "away_h2h_wins", "h2h_total_games")),
@@ -97,7 +103,7 @@ OPPONENT_DIFFS = {f"{c}_diff": c for c in (
     "win_pct_vs_similar_opponents", "avg_point_diff_vs_similar_opponents")}
 
 
-@model("int_momentum_group_opponent", table=True)
+@model("int_momentum_group_opponent", table=True, by="game_id")
 def group_opponent(m: Models) -> DataFrame:
     out = join_on_game(m, [from_model(m, n, ("home_rest_bucket", "away_rest_bucket")) for n in OPPONENT])
     return with_diffs(out, OPPONENT_DIFFS)
@@ -115,7 +121,7 @@ RACE = {"overall_rank": "playoff_rank", **{c: c for c in (
     "is_in_playoff_position", "games_back_from_cutoff", "win_pct_diff_from_cutoff", "is_close_to_cutoff", "is_fighting_for_playoff_spot")}}
 
 
-@model("int_momentum_group_context", table=True)
+@model("int_momentum_group_context", table=True, by="game_id")
 def group_context(m: Models) -> DataFrame:
     # Both upset models have an underdog count; the stricter one keeps its suffix.
     upset = {"home_underdog_game_count": "home_underdog_game_count_upset", "away_underdog_game_count": "away_underdog_game_count_upset"}
@@ -139,7 +145,7 @@ TREND_DIFFS = {**{f"{c}_diff": c for c in ACCEL}, **{f"{c}_diff": c for c in (
     "slow_pace_win_pct", "slow_pace_avg_point_diff")}}
 
 
-@model("int_momentum_group_trends", table=True)
+@model("int_momentum_group_trends", table=True, by="game_id")
 def group_trends(m: Models) -> DataFrame:
     parts = [
         from_sides(m, "int_team_form_divergence", DIVERGENCE),
@@ -164,7 +170,7 @@ def divergence_aliases() -> dict[str, str]:
     return out
 
 
-@model("int_game_momentum_features", table=True)
+@model("int_game_momentum_features", table=True, by="game_id")
 def game_momentum(m: Models) -> DataFrame:
     out = m[GROUPS[0]]
     for g in GROUPS[1:]:

@@ -18,12 +18,12 @@ from ..operators.carry import Carry, nothing_carried
 from ..operators.entity_rows import to_entity_rows
 
 _BUILDERS: dict[str, Callable[[Models], DataFrame]] = {}
-_TABLES: set[str] = set()
+_TABLES: dict[str, str | None] = {}
 _WHOLE: set[str] = set()
 
 
-def model(name: str, table: bool = False, whole: bool = False):
-    """Register a model; `table=True` writes it once per `Models` object.
+def model(name: str, table: bool = False, whole: bool = False, by: str | None = None):
+    """Register a model; `table=True` writes it once per `Models` object, `by` names the column it is bucketed and sorted by.
 
     `whole=True` marks totals over the whole history (a row per team, player, year or league): a run in chunks takes them
     from one pass over all days, as every row of a run over all days does.
@@ -32,7 +32,7 @@ def model(name: str, table: bool = False, whole: bool = False):
     def add(fn):
         _BUILDERS[name] = fn
         if table:
-            _TABLES.add(name)
+            _TABLES[name] = by
         if whole:
             _WHOLE.add(name)
         return fn
@@ -62,6 +62,17 @@ def write_table(df: DataFrame, spark: SparkSession, name: str, root: str | None
     return spark.read.schema(df.schema).parquet(path)
 
 
+def write_bucketed(df: DataFrame, spark: SparkSession, name: str, root: str, by: str) -> tuple[DataFrame, str]:
+    """Write a frame in buckets of `by`, one sorted file each; joins of such tables on `by` move no rows.
+
+    There are as many buckets as shuffle partitions, so what is shuffled by `by` meets them without moving them either.
+    """
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"foretally_{name}_{uuid.uuid4().hex[:12]}"
+    df.repartition(n, by).write.format("parquet").bucketBy(n, by).sortBy(by).option("path", f"{root}/{table}").saveAsTable(table)
+    return spark.table(table), table
+
+
 class Models:
     """The model graph over one set of staging frames.
 
@@ -78,17 +89,24 @@ class Models:
         self.inputs = {k: self._cut(v) for k, v in inputs.items()}
         self._built: dict[str, DataFrame] = {}
         self._root: str | None = None
+        self._tables: list[str] = []
 
-    def written(self, df: DataFrame, name: str) -> DataFrame:
-        """The frame as a table of this graph, which `close` deletes."""
+    def written(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        """The frame as a table of this graph, bucketed by `by` if given, which `close` deletes."""
         self._root = self._root or f"{shared_dir(self.spark)}/foretally-{uuid.uuid4().hex}"
-        return write_table(df, self.spark, name, self._root)
+        if by is None:
+            return write_table(df, self.spark, name, self._root)
+        out, table = write_bucketed(df, self.spark, name, self._root, by)
+        self._tables.append(table)
+        return out
 
     def close(self) -> None:
         """Delete all tables of the graph; frames that read them cannot be used any more."""
+        for table in self._tables:
+            self.spark.sql(f"drop table if exists {table}")
         if self._root:
             remove_folder(self.spark, self._root)
-        self._root, self._built = None, {}
+        self._root, self._built, self._tables = None, {}, []
 
     def _cut(self, df: DataFrame) -> DataFrame:
         """With carried state, rows of earlier chunks are not read. Injury reports count up to the day after a game."""
@@ -113,7 +131,7 @@ class Models:
         if name not in self._built:
             with self.carry.of(name) if self.carry else nothing_carried():
                 df = _BUILDERS[name](self)
-            self._built[name] = self.written(df, name) if name in _TABLES else df
+            self._built[name] = self.written(df, name, _TABLES[name]) if name in _TABLES else df
         return self._built[name]
 
     def output(self, name: str) -> DataFrame:
