@@ -14,7 +14,7 @@ from .plans.views import staging_from_star
 Query = Callable[[SparkSession, str], DataFrame]
 
 _GRAPHS: dict[tuple[str, str], Models] = {}
-_HELPERS = {"team_game_context", "team_rest_rows", "injury_star_reports", "light_mart", "league_recent_form", "league_form", "league_pace"}
+_HELPERS = {"team_game_context", "team_rest_rows", "injury_star_reports", "light_mart", "league_recent_form", "league_form", "league_pace", "game_keys"}
 
 
 def graph(spark: SparkSession, sf_dir: str) -> Models:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .functions.numeric import flag
-from .ml import analysis, dataset, model, scoring
+from .ml import analysis, contributions, dataset, model, scoring, store
 from .plans.registry import Models
 from .plans.registry import model as register
 
@@ -103,9 +103,70 @@ def ml_class_report(spark, d):
 
 
 def ml_importances(spark, d):
-    mdl, _, feats = _small_fit(spark, d)
-    reg, imp = model.registry_rows(spark, "game_winner", "1.0", "m0", {"accuracy": 0.5}, model.importances(mdl, feats), "2024-01-01")
-    return imp.join(reg.select("model_id", "model_version"), "model_id")
+    """Importances of a fitted model, registered with its accuracy on the newer games."""
+    mdl, s, feats = _small_fit(spark, d)
+    reached = model.accuracy(model.predict(mdl, s.filter("part = 'test'"))).first()["accuracy"]
+    reg, imp = model.registry_rows(spark, "game_winner", "1.0", "m0", {"accuracy": float(reached or 0.0)}, model.importances(mdl, feats), "2024-01-01")
+    return imp.join(reg.select("model_id", "model_version", F.col("metrics")["accuracy"].alias("accuracy")), "model_id")
+
+
+def ml_early_stopping(spark, d):
+    """Published settings (300 trees, depth 6, rate 0.03) on the whole mart, stopped on 15 % of the training rows: trees
+    kept, and accuracy on the newer games."""
+    rows = dataset.training_rows(_m(spark, d)["mart_game_features"], "1995-06-01", "2001-06-01")
+    feats = dataset.feature_columns(rows)
+    s = dataset.split_by_time(model.bounded(dataset.dense_rows(rows, feats)), 0.2)
+    s = _m(spark, d).written(s, "training")
+    train = s.filter("part = 'train'")
+    mdl, trees = model.fit_stopping(train, feats)
+    return model.accuracy(model.predict(mdl, s.filter("part = 'test'"))).withColumn("trees", F.lit(trees)).withColumn("features", F.lit(len(feats)))
+
+
+_STORES: dict[tuple[str, str], str] = {}
+
+
+def _store(spark, d):
+    """Folder of stored models of this session and data: two versions, the second active."""
+    from .plans.registry import shared_dir
+    import uuid
+
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _STORES:
+        root = f"{shared_dir(spark)}/foretally-models-{uuid.uuid4().hex[:8]}"
+        for version, options in (("1.0", {"trees": 5}), ("1.1", {})):
+            mdl, s, feats = _small_fit(spark, d, **options)
+            reached = model.accuracy(model.predict(mdl, s.filter("part = 'test'"))).first()
+            model_id = store.store(spark, root, mdl, "game_winner", version, feats, {"accuracy": float(reached["accuracy"] or 0.0), "rows": float(reached["n"])}, f"2024-0{int(version[-1]) + 1}-01")
+        store.activate(spark, root, "game_winner", model_id)
+        _STORES[key] = root
+    return _STORES[key]
+
+
+def ml_stored_models(spark, d):
+    """The registry: versions with their accuracy, which is active, and how many importances are stored."""
+    root = _store(spark, d)
+    n = store.stored_importances(spark, root).groupBy("model_id").agg(F.count(F.lit(1)).alias("importances"))
+    return store.registry(spark, root).join(n, "model_id").select("model_name", "model_version", "model_id", F.col("metrics")["accuracy"].alias("accuracy"), "is_active", "importances")
+
+
+def ml_scored_by_active(spark, d):
+    """All games scored by the active stored version, confidence lowered for injuries."""
+    rows, _ = _training(spark, d)
+    p = store.score_with_active(rows, _store(spark, d), "game_winner")
+    return scoring.scored(p, 0.5).select("game_id", "model_id", "predicted_value", "p_home", "base_confidence", "confidence")
+
+
+def ml_tree_contributions(spark, d):
+    """Contributions of every feature to the margin of the active stored version, per game."""
+    rows, _ = _training(spark, d)
+    _, feats, mdl = store.active(spark, _store(spark, d), "game_winner")
+    trees = contributions.trees_of(mdl, spark, f"{_store(spark, d)}/trees")
+    return contributions.by_feature(contributions.tree_contributions(rows, feats, trees), feats)
+
+
+def ml_tree_mean_contributions(spark, d):
+    """Mean absolute contribution of each feature."""
+    return analysis.mean_contributions(ml_tree_contributions(spark, d))
 
 
 def ml_select_features(spark, d):
@@ -265,6 +326,7 @@ def an_injury_distribution(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     ml_training_rows, ml_interactions, ml_split_by_day, ml_split_by_time, ml_split_random, ml_sample_weights, ml_train_boosted, ml_train_forest, ml_class_report, ml_importances,
+    ml_early_stopping, ml_stored_models, ml_scored_by_active, ml_tree_contributions, ml_tree_mean_contributions,
     ml_select_features, ml_stacking, ml_platt, ml_isotonic, ml_calibration_bins, ml_calibration_error, ml_games_to_score, ml_scored, ml_evaluation, ml_store_outcomes,
     ml_correlated_pairs, ml_target_correlation, ml_removal_advice, ml_contributions, ml_mean_contributions, ml_permutation, an_prediction_errors, an_wrong_by_injury,
     an_upset_types, an_latest_model, an_compare_versions, an_latest_odds, an_matchup_report, an_key_players, an_against_history, an_injury_list, an_injury_bands, an_injury_distribution)}

@@ -61,26 +61,38 @@ def mean_contributions(contributions: DataFrame, groups: DataFrame | None = None
     return c.groupBy(by).agg(F.avg(F.abs("contribution")).alias("mean_abs_contribution"), F.avg("contribution").alias("mean_contribution"))
 
 
-def permuted(df: DataFrame, column: str, groups: int = 64, seed: int = 1) -> DataFrame:
-    """Mix a column between rows: values move one place in hash order inside each of `groups` hash groups.
+#: Rows of a group inside which values change places, on average.
+MIXED_TOGETHER = 50_000
 
-    The same rows move in the same way however many others there are; raise `groups` with the cluster.
-    """
+
+def with_partner(df: DataFrame, features: list[str], seed: int = 1, together: int = MIXED_TOGETHER) -> DataFrame:
+    """Each row's features as the array `_own`, and as `_other` those of the row before it in a hash order of about `together`
+    rows; the first row gets those of the last, so every value keeps its frequency."""
+    groups = max(1, -(-df.count() // together))
     grp = F.pmod(F.xxhash64("game_id", F.lit(seed)), F.lit(groups))
     w = Window.partitionBy("_g").orderBy(F.xxhash64("game_id", F.lit(seed + 1)), "game_id")
-    shifted = F.coalesce(F.lag(column).over(w), F.last(column).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    return df.withColumn("_g", grp).withColumn(column, shifted).drop("_g")
+    own = F.array(*[F.col(f"`{c}`").cast("double") for c in features])
+    last = F.last("_own").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    return df.withColumn("_own", own).withColumn("_g", grp).withColumn("_other", F.coalesce(F.lag("_own").over(w), last)).drop("_g")
 
 
-def permutation_importance(predict, df: DataFrame, features: list[str]) -> DataFrame:
-    """Loss of accuracy per feature when its values are mixed between rows."""
+def permutation_importance(predict, df: DataFrame, features: list[str], seed: int = 1, together: int = MIXED_TOGETHER) -> DataFrame:
+    """Loss of accuracy per feature when its values are mixed between rows.
+
+    One pass: every row stands once as it is and once per feature with that value taken from its partner, all are scored by
+    one plan, and one aggregate gives the accuracies, whose number is that of the features.
+    """
+    paired = with_partner(df.select("game_id", LABEL, *[F.col(f"`{c}`") for c in features]), features, seed, together)
+    variants = paired.select("game_id", LABEL, "_own", "_other", F.explode(F.sequence(F.lit(-1), F.lit(len(features) - 1))).alias("_f"))
+    mixed = F.transform("_own", lambda x, i: F.when(i == F.col("_f"), F.get("_other", i)).otherwise(x))
+    rows = variants.select("game_id", LABEL, "_f", mixed.alias("_x"))
+    rows = rows.select("game_id", LABEL, "_f", *[F.get("_x", F.lit(i)).alias(c) for i, c in enumerate(features)])
     hit = F.avg(flag(F.col("predicted_value") == F.col(LABEL)))
-    parts = [predict(df if f is None else permuted(df, f)).agg(hit.alias("acc")).withColumn("feature", F.lit(f or "_none")) for f in [None, *features]]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    base = out.filter("feature = '_none'").select(F.col("acc").alias("_base"))
-    return with_scalars(out.filter("feature <> '_none'"), base).select("feature", (F.col("_base") - F.col("acc")).alias("importance"))
+    acc = predict(rows).groupBy("_f").agg(hit.alias("acc"))
+    every = acc.agg(F.max(F.when(F.col("_f") == -1, F.col("acc"))).alias("_base"), F.collect_list(F.struct("_f", "acc")).alias("_all"))
+    names = F.array(*[F.lit(c) for c in features])
+    each = every.select("_base", F.explode("_all").alias("x")).filter("x._f >= 0")
+    return each.select(F.element_at(names, F.col("x._f") + 1).alias("feature"), (F.col("_base") - F.col("x.acc")).alias("importance"))
 
 
 # Reports ------------------------------------------------------------------------------

@@ -16,11 +16,27 @@ from .dataset import hash_share
 LABEL, WEIGHT = "home_win", "weight"
 
 
-def learner(kind: str = "gbt", trees: int = 300, depth: int = 6, rate: float = 0.03, seed: int = 42):
-    """Boosted trees (default), random forest or logistic regression."""
+#: Least gain in validation loss, relative to the loss, over which boosting goes on.
+STOP_BELOW = 0.001
+#: Labelled rows a model is fitted on at most, about; chosen by a hash of the game.
+MOST_ROWS = 1_000_000
+
+
+def bounded(rows: DataFrame, most: int = MOST_ROWS, seed: int = 11) -> DataFrame:
+    """At most about `most` rows, chosen by a hash of the game."""
+    n = rows.count()
+    return rows if n <= most else rows.filter(hash_share("game_id", seed) < most / n)
+
+
+def learner(kind: str = "gbt", trees: int = 300, depth: int = 6, rate: float = 0.03, seed: int = 42, validation: str | None = None):
+    """Boosted trees (default), random forest or logistic regression.
+
+    `validation` names a boolean column: boosting stops when the loss on its rows no longer falls.
+    """
     base = {"featuresCol": "features", "labelCol": LABEL, "weightCol": WEIGHT}
     if kind == "gbt":
-        return GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=rate, subsamplingRate=0.8, seed=seed, **base)
+        stop = {"validationIndicatorCol": validation, "validationTol": STOP_BELOW} if validation else {}
+        return GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=rate, subsamplingRate=0.8, seed=seed, **stop, **base)
     if kind == "forest":
         return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, **base)
     return LogisticRegression(maxIter=100, regParam=0.01, **base)
@@ -33,6 +49,17 @@ def fit(train: DataFrame, features: list[str], kind: str = "gbt", **options) ->
     return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep"), learner(kind, **options)]).fit(train)
 
 
+def fit_stopping(train: DataFrame, features: list[str], share: float = 0.15, seed: int = 7, **options) -> tuple[PipelineModel, int]:
+    """Boosted trees that stop on a random part of the training rows, with the published settings unless `options` say
+    otherwise; the model and the number of trees it kept."""
+    marked = train.withColumn("_held", hash_share("game_id", seed) < share)
+    if WEIGHT not in marked.columns:
+        marked = marked.withColumn(WEIGHT, F.lit(1.0))
+    stages = [VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep"), learner("gbt", validation="_held", **options)]
+    model = Pipeline(stages=stages).fit(marked)
+    return model, model.stages[-1].getNumTrees
+
+
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Add `p_home`, the predicted class and the plain confidence."""
     out = model.transform(df)

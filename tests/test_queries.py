@@ -44,7 +44,8 @@ def test_query_matches_check(spark, duck, name):
 def test_every_check_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
     rows_only = set(catalog.queries()) - set(all_sql())
-    assert rows_only == {"ml_train_boosted", "ml_train_forest", "ml_importances", "ml_select_features", "ml_stacking", "ml_platt", "ml_isotonic", "ml_permutation"}
+    assert rows_only == {"ml_train_boosted", "ml_train_forest", "ml_importances", "ml_select_features", "ml_stacking", "ml_platt", "ml_isotonic", "ml_permutation",
+                         "ml_early_stopping", "ml_stored_models", "ml_scored_by_active", "ml_tree_contributions", "ml_tree_mean_contributions"}
 
 
 def test_entry_without_the_training_data_package():
