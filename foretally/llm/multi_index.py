@@ -38,6 +38,9 @@ SHARD = 4_096
 #: Queries that meet a shard in one group.
 QUERY_BLOCK = 20_000
 _QUERIES = 512
+#: Pairs that are summed at once; share of a score that a blocked product may be off by.
+_PAIRS = 100_000
+_MARGIN = 1e-9
 
 
 def usable(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -114,6 +117,16 @@ def _best(query: np.ndarray, ids: np.ndarray, score: np.ndarray, top: int) -> tu
     return query[rank < top], ids[rank < top], score[rank < top]
 
 
+def inner(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Inner products of the pairs a[i], b[j], each summed in the same order wherever it is computed: a matrix product rounds
+    differently in blocks of different size, and equal vectors must get equal scores."""
+    out = np.empty(len(i))
+    for at in range(0, len(i), _PAIRS):
+        part = slice(at, at + _PAIRS)
+        out[part] = (a[i[part]] * b[j[part]]).sum(axis=1)
+    return out
+
+
 def search(vectors: DataFrame, is_query: Column, top: int = TOP, share: float = SHARE, least: int = LEAST, centroids: int = CENTROIDS, shard: int = SHARD) -> DataFrame:
     """query_id, rank, vec_id, score: the best `top` of the cells each query takes. `is_query` is a condition on vec_id."""
     rows = stored(usable(vectors))
@@ -159,12 +172,12 @@ def search(vectors: DataFrame, is_query: Column, top: int = TOP, share: float =
     def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             out = []
-            for vec_id, v in zip(f["vec_id"], f["vector"], strict=True):
+            for vec_id, block, v in zip(f["vec_id"], f["block"], f["vector"], strict=True):
                 by_shard: dict[int, list[int]] = {}
                 for c in index.taken(v, counts, enough):
                     for s in shards_of[c].tolist():
                         by_shard.setdefault(s, []).append(c)
-                out += [(s, vec_id % blocks, vec_id, None, v, cs) for s, cs in by_shard.items()]
+                out += [(s, block, vec_id, None, v, cs) for s, cs in by_shard.items()]
             yield pd.DataFrame(out, columns=["shard", "block", "vec_id", "cell", "vector", "cells"])
 
     def rank(_key: tuple, f: pd.DataFrame) -> pd.DataFrame:
@@ -181,11 +194,11 @@ def search(vectors: DataFrame, is_query: Column, top: int = TOP, share: float =
                     open_cells[i, np.asarray(cs, dtype=np.int64)] = True
                 allowed = open_cells[:, cell] & (ids[None, :] != part["vec_id"].to_numpy()[:, None])
                 score = np.where(allowed, score, -np.inf)
-                if score.shape[1] > top:  # ties at the edge stay in until ranked by id
+                if score.shape[1] > top:  # what may be a tie at the edge stays in until it is ranked by exact score and id
                     edge = -np.partition(-score, top - 1, axis=1)[:, top - 1 : top]
-                    allowed &= score >= edge
+                    allowed &= score >= np.where(np.isfinite(edge), edge - _MARGIN * (1 + np.abs(edge)), edge)
                 i, j = np.nonzero(allowed)
-                keep.append(_best(part["vec_id"].to_numpy()[i], ids[j], score[i, j], top))
+                keep.append(_best(part["vec_id"].to_numpy()[i], ids[j], inner(np.stack(part["vector"].to_numpy()), matrix, i, j), top))
         if not keep:
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
         query, ids, score = (np.concatenate(x) for x in zip(*keep, strict=True))
@@ -193,7 +206,7 @@ def search(vectors: DataFrame, is_query: Column, top: int = TOP, share: float =
 
     schema = "shard long, block int, vec_id long, cell int, vector array<double>, cells array<int>"
     dealt = placed.withColumn("spread", F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30))).mapInPandas(deal, schema)
-    asked = asking.mapInPandas(ask, schema)
+    asked = asking.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")).mapInPandas(ask, schema)
     best = dealt.unionByName(asked).groupBy("shard", "block").applyInPandas(rank, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")  # Spark keeps `top` per partition before it moves rows
     out = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)

@@ -201,6 +201,20 @@ def test_recall_of_the_query(spark):
     assert sum(len(got[q] & {i for i, _ in w}) for q, w in want.items()) >= 0.9 * sum(map(len, want.values()))
 
 
+def test_equal_vectors_are_ranked_by_id_wherever_they_lie(spark):
+    rng = np.random.default_rng(5)
+    same, other = rng.normal(size=24), rng.normal(size=(150, 24))
+    rows = [(i, [float(x) for x in (same if i % 3 else other[i % 150])]) for i in range(450)]
+    docs = spark.createDataFrame(rows, "vec_id long, vector array<double>")
+    got = multi_index.search(docs, F.pmod("vec_id", F.lit(7)) == 0, top=10, share=1.0, centroids=4, shard=20).collect()
+    x = np.array([v for _, v in rows])
+    for q in range(0, 450, 7):
+        mine = sorted((r.rank, r.vec_id, r.score) for r in got if r.query_id == q)
+        score = np.array([float((x[q] * x[i]).sum()) for i in range(450)])
+        order = [i for i in np.lexsort((np.arange(450), -score)) if i != q][:10]
+        assert [(v, s) for _, v, s in mine] == [(i, score[i]) for i in order]
+
+
 def test_no_vectors(spark):
     assert multi_index.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
     assert multi_index.nearest(spark.createDataFrame([(20, [1.0])], "vec_id long, embedding array<float>")).count() == 0
