@@ -25,6 +25,16 @@ def _stg(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     return staging_from_star(spark, d)
 
 
+#: Rows of one document or page on average, where a day or team has most of them.
+DOCUMENT_ROWS = 500
+
+
+def _dealt(df: DataFrame, by: str, ident: str) -> DataFrame:
+    """Adds `_doc`: a day or team with more rows than a document holds becomes several documents."""
+    most = df.groupBy(by).count().agg(F.max("count")).first()[0] or 0
+    return df.withColumn("_doc", F.pmod(F.xxhash64(ident), F.lit(max(1, -(-most // DOCUMENT_ROWS)))))
+
+
 def _side(s: str):
     t = F.col(f"{s}_team_id")
     return F.struct(t.cast("long").alias("teamId"), F.concat(F.lit("Name"), t).alias("teamName"), F.concat(F.lit("T"), t).alias("teamTricode"),
@@ -40,8 +50,8 @@ def _game_struct():
 
 
 def schedule_docs(g: DataFrame) -> DataFrame:
-    """One schedule document per day."""
-    by_day = g.groupBy("game_date").agg(F.collect_list(_game_struct()).alias("games"))
+    """Schedule documents, of one day each."""
+    by_day = _dealt(g, "game_date", "game_id").groupBy("game_date", "_doc").agg(F.collect_list(_game_struct()).alias("games"))
     day = F.struct(F.col("game_date").cast("string").alias("gameDate"), "games")
     return by_day.select(F.to_json(F.struct(F.struct(F.array(day).alias("gameDates")).alias("leagueSchedule"))).alias("payload"))
 
@@ -52,12 +62,12 @@ def src_games(spark, d):
 
 def src_teams(spark, d):
     s = _stg(spark, d)
-    league = s["stg_teams"].filter("team_id < 20").select(F.col("team_id").cast("long").alias("team_id"), "conference", "division")
+    league = s["stg_teams"].select(F.col("team_id").cast("long").alias("team_id"), "conference", "division")
     return payloads.teams_from_schedule(schedule_docs(s["stg_games"]), league, _stamp()).drop("created_at")
 
 
 def src_todays_games(spark, d):
-    by_day = _stg(spark, d)["stg_games"].groupBy("game_date").agg(F.collect_list(_game_struct()).alias("games"))
+    by_day = _dealt(_stg(spark, d)["stg_games"], "game_date", "game_id").groupBy("game_date", "_doc").agg(F.collect_list(_game_struct()).alias("games"))
     docs = by_day.select(F.to_json(F.struct(F.struct(F.col("game_date").cast("string").alias("gameDate"), "games").alias("scoreboard"))).alias("payload"))
     return payloads.todays_games(docs, _stamp()).drop("created_at")
 
@@ -67,7 +77,7 @@ def src_players(spark, d):
     row = F.array(F.col("player_id").cast("string"), F.lit("Player"), F.col("player_id").cast("string"), F.col("team_id").cast("string"),
                   F.col("team_abbreviation"), (F.col("player_id") % 3).cast("string"), (F.col("player_id") * 1.5).cast("string"))
     heads = F.array(*[F.lit(h) for h in ("PERSON_ID", "PLAYER_FIRST_NAME", "PLAYER_LAST_NAME", "TEAM_ID", "TEAM_ABBREVIATION", "ROSTER_STATUS", "PTS")])
-    docs = p.groupBy("team_id").agg(F.collect_list(row).alias("rowSet")).select(
+    docs = _dealt(p, "team_id", "player_id").groupBy("team_id", "_doc").agg(F.collect_list(row).alias("rowSet")).select(
         F.to_json(F.struct(F.array(F.struct(heads.alias("headers"), "rowSet")).alias("resultSets"))).alias("payload"))
     return payloads.players_from_index(docs, _stamp()).drop("created_at")
 
@@ -83,7 +93,7 @@ def src_betting_odds(spark, d):
     total = F.array(out("over", 1 + i % 4 * 0.25, i % 30 + 200), out("under", 1 + i % 3 * 0.5, i % 30 + 200))
     books = lambda o: F.array(*[F.struct(F.lit(b).alias("name"), o.alias("outcomes")) for b in ("BookA", "BookB")])
     markets = F.array(F.struct(F.lit("2way").alias("name"), books(two).alias("books")), F.struct(F.lit("total").alias("name"), books(total).alias("books")))
-    docs = g.groupBy("game_date").agg(F.collect_list(F.struct(i.cast("string").alias("gameId"), markets.alias("markets"))).alias("games"))
+    docs = _dealt(g, "game_date", "game_id").groupBy("game_date", "_doc").agg(F.collect_list(F.struct(i.cast("string").alias("gameId"), markets.alias("markets"))).alias("games"))
     return payloads.betting_odds(docs.select(F.to_json(F.struct("games")).alias("payload")), _stamp()).drop("captured_at")
 
 
@@ -119,13 +129,14 @@ def _reports(s: dict[str, DataFrame]) -> DataFrame:
 
 
 def pages_by_team(s: dict[str, DataFrame]) -> DataFrame:
-    """One page per day, one titled table per team."""
+    """Pages of one day each, one titled table per team."""
     tr = F.concat(F.lit('<tr><td><a href="/player/_/id/'), F.col("injury_id"), F.lit('/x">'), F.col("player_name"), F.lit("</a></td><td>"), F.col("status"),
                   F.lit("</td><td>knee &amp; ankle "), F.col("injury_id"), F.lit("</td></tr>"))
     head = F.lit("<table><tr><th>NAME</th><th>STATUS</th><th>COMMENT</th></tr>")
-    team = _reports(s).groupBy("capture_date", "team_name").agg(F.concat_ws("", F.collect_list(tr)).alias("rows"))
+    reports = _dealt(_reports(s), "capture_date", "injury_id")
+    team = reports.groupBy("capture_date", "_doc", "team_name").agg(F.concat_ws("", F.collect_list(tr)).alias("rows"))
     sec = F.concat(F.lit('<div class="ResponsiveTable x"><div class="Table__Title">'), F.col("team_name"), F.lit("</div>"), head, F.col("rows"), F.lit("</table></div>"))
-    return team.groupBy("capture_date").agg(F.concat_ws("", F.collect_list(sec)).alias("html")).withColumn("captured_at", _stamp())
+    return team.groupBy("capture_date", "_doc").agg(F.concat_ws("", F.collect_list(sec)).alias("html")).drop("_doc").withColumn("captured_at", _stamp())
 
 
 def src_injuries_by_team(spark, d):
@@ -135,7 +146,8 @@ def src_injuries_by_team(spark, d):
 def src_injuries_by_row(spark, d):
     tr = F.concat(F.lit("<tr class='injury'><td>"), F.col("player_name"), F.lit("</td><td>"), F.col("team_abbrev"), F.lit("</td><td>"), F.col("status"),
                   F.lit("</td><td>knee injury no "), F.col("injury_id"), F.lit("</td></tr>"))
-    pages = _reports(_stg(spark, d)).groupBy("capture_date").agg(F.concat_ws("", F.lit("<table>"), F.concat_ws("", F.collect_list(tr)), F.lit("</table>")).alias("html"))
+    reports = _dealt(_reports(_stg(spark, d)), "capture_date", "injury_id")
+    pages = reports.groupBy("capture_date", "_doc").agg(F.concat_ws("", F.lit("<table>"), F.concat_ws("", F.collect_list(tr)), F.lit("</table>")).alias("html")).drop("_doc")
     return injury_pages.injuries_by_row(pages.withColumn("captured_at", _stamp()), NAMES).drop("captured_at")
 
 

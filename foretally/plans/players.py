@@ -9,7 +9,7 @@ from ..functions.numeric import flag, nvl
 from ..functions.text import name_key
 from ..operators.asof import latest_n_asof
 from ..operators.history import prior_rows
-from .registry import Models, model
+from .registry import Models, model, with_updated_at
 
 
 def _appearances(m: Models) -> DataFrame:
@@ -177,9 +177,10 @@ def game_injuries(m: Models) -> DataFrame:
 def team_injury_features(m: Models) -> DataFrame:
     r = m["stg_injuries"].filter("status <> 'N/A'")
     label = F.concat("player_name", F.lit(" ("), "status", F.lit(")"))
-    return r.groupBy("capture_date", "team_abbrev").agg(
+    per_day = r.groupBy("capture_date", "team_abbrev").agg(
         F.count(F.lit(1)).alias("injured_players"),
         *[F.sum(flag(F.col("status") == s)).alias(f"players_{s.lower()}") for s in STATUS_WORDS.values()],
         # One day and team: a squad's worth of names, sorted so the text is stable.
         F.array_join(F.sort_array(F.collect_list(label)), ", ").alias("injury_list"),
     )
+    return with_updated_at(per_day, m.loaded_at)

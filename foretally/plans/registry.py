@@ -73,19 +73,26 @@ def write_bucketed(df: DataFrame, spark: SparkSession, name: str, root: str, by:
     return spark.table(table), table
 
 
+def with_updated_at(df: DataFrame, stamp: str | None = None) -> DataFrame:
+    """Add the load time of a feature table: now, or the time the run was given."""
+    return df.withColumn("updated_at", F.lit(stamp).cast("timestamp_ntz") if stamp else F.localtimestamp())
+
+
 class Models:
     """The model graph over one set of staging frames.
 
     `start` / `end` are half-open day bounds: rows from `end` on are not read at
     all, rows before `start` serve as history and are dropped from the output.
+    `loaded_at` is the load time that feature tables show, by default the time they are made.
     """
 
     def __init__(
-        self, spark: SparkSession, inputs: dict[str, DataFrame], start=None, end=None, as_of=None, carry: Carry | None = None, whole: Models | None = None
+        self, spark: SparkSession, inputs: dict[str, DataFrame], start=None, end=None, as_of=None, loaded_at: str | None = None, carry: Carry | None = None,
+        whole: Models | None = None,
     ):
         self.spark = spark
         self.start, self.end, self.as_of = start, end, as_of
-        self.carry, self.whole = carry, whole
+        self.loaded_at, self.carry, self.whole = loaded_at, carry, whole
         self.inputs = {k: self._cut(v) for k, v in inputs.items()}
         self._built: dict[str, DataFrame] = {}
         self._root: str | None = None

@@ -58,7 +58,7 @@ cte("f_inj", "select g.game_id, g.is_home, coalesce(nullif(p.star_players_out, 0
  from gsides g left join rep_feats p on p.team_id = g.team_id and p.game_date = g.game_date left join dnp d on d.game_id = g.game_id and d.is_home = g.is_home""")
 add("int_game_injury_features", sides("f_inj", {**{c: 0 for c in _CNT}, "injury_impact_score": 0.0, "injured_players_count": 0, "has_key_injury": 0},
     {"injury_impact_diff": "injury_impact_score", "star_players_out_diff": "star_players_out"}))
-SQL["team_injury_features"] = """select capture_date, team_abbrev, count(*) as injured_players, """ + ", ".join(f"cast(sum((status = '{s}')::int) as bigint) as players_{s.lower()}" for s in ("Out", "Doubtful", "Questionable", "Probable")) + """,
+SQL["team_injury_features"] = """select timestamp '2024-01-01' as updated_at, capture_date, team_abbrev, count(*) as injured_players, """ + ", ".join(f"cast(sum((status = '{s}')::int) as bigint) as players_{s.lower()}" for s in ("Out", "Doubtful", "Questionable", "Probable")) + """,
  string_agg(player_name || ' (' || status || ')', ', ' order by player_name || ' (' || status || ')') as injury_list from v_injuries where status <> 'N/A' group by 1, 2"""
 
 # Feature groups: the same joins, written by name, with the published defaults.
@@ -180,4 +180,4 @@ SQL["mart_team_standings"] = f"""select s.team_id, t.team_name, t.team_abbreviat
  s.home_wins, s.home_losses, s.away_wins, s.away_losses, s.ppg, s.opp_ppg, s.point_diff, s.fg_pct, s.fg3_pct, s.ft_pct, w10 as last_10_wins, l10 as last_10_losses, w10 || '-' || l10 as last_10, case when k.f then 'W' else 'L' end || k.n as streak,
  k.f as on_winning_streak, k.n as streak_length, {h('((first_value(wins) over q - wins) + (losses - first_value(losses) over q)) / 2.0', 1)} as games_back
  from int_team_season_stats s join v_teams t on t.team_id = s.team_id left join streak20 k on k.team_id = s.team_id left join ten on ten.team_id = s.team_id window q as (partition by conference order by {_O}, s.team_id)"""
-SQL["team_features"] = "select * exclude (ot_games, first_game, last_game) from int_team_season_stats"
+SQL["team_features"] = "select * exclude (ot_games, first_game, last_game), timestamp '2024-01-01' as updated_at from int_team_season_stats"

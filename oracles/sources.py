@@ -14,7 +14,7 @@ cte("raw_games", f"select {_G}, 'Arena' as venue, cast(null as varchar) as arena
 SQL["src_games"] = "select * from raw_games"
 SQL["src_csv_round_trip"] = "select * from raw_games"
 cte("raw_teams", """select t.team_id, 'Name' || t.team_id as team_name, 'T' || t.team_id as team_abbreviation, 'City' || t.team_id as city, conference, division, true as is_active
- from v_teams t where t.team_id < 20 and (t.team_id in (select home_team_id from games) or t.team_id in (select away_team_id from games))""")
+ from v_teams t where t.team_id in (select home_team_id from games) or t.team_id in (select away_team_id from games)""")
 SQL["src_teams"] = "select * from raw_teams"
 SQL["src_todays_games"] = f"select {_G}, 4 as period, '' as game_clock from games"
 _NULLS = ", ".join(f"null as {c}" for c in ("player_slug", "team_name", "team_city", "jersey_number", "position", "height", "weight", "college", "country", "draft_year", "draft_round", "draft_number", "from_year", "to_year", "career_reb", "career_ast"))

@@ -6,7 +6,7 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from foretally.functions.numeric import half_up, rounded
-from foretally.ml.analysis import matchup_report, permuted
+from foretally.ml.analysis import matchup_report, with_partner
 from foretally.plans.assembly import neutral
 from foretally.plans.registry import Models
 
@@ -31,9 +31,9 @@ def test_published_halves():
         assert neutral(f"{side}_win_pct_vs_similar_momentum", DoubleType()) == neutral(f"{side}_win_pct_with_rest_advantage", DoubleType()) == 0.5
 
 
-def test_permutation_does_not_depend_on_other_rows(spark):
+def test_permutation_does_not_depend_on_the_order_of_rows(spark):
     small = spark.range(50).select(F.col("id").alias("game_id"), (F.col("id") * 2).alias("v"))
-    one, two = permuted(small, "v", groups=8), permuted(small.repartition(7), "v", groups=8)
+    one, two = (with_partner(df, ["v"], together=7).select("game_id", F.col("_other")[0].alias("v")) for df in (small, small.repartition(7)))
     assert sorted(r.v for r in one.collect()) == [2 * i for i in range(50)]
     assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect()))
 
