@@ -58,8 +58,8 @@ cte("f_inj", "select g.game_id, g.is_home, coalesce(nullif(p.star_players_out, 0
  from gsides g left join rep_feats p on p.team_id = g.team_id and p.game_date = g.game_date left join dnp d on d.game_id = g.game_id and d.is_home = g.is_home""")
 add("int_game_injury_features", sides("f_inj", {**{c: 0 for c in _CNT}, "injury_impact_score": 0.0, "injured_players_count": 0, "has_key_injury": 0},
     {"injury_impact_diff": "injury_impact_score", "star_players_out_diff": "star_players_out"}))
-SQL["team_injury_features"] = """select timestamp '2024-01-01' as updated_at, capture_date, team_abbrev, count(*) as injured_players, """ + ", ".join(f"cast(sum((status = '{s}')::int) as bigint) as players_{s.lower()}" for s in ("Out", "Doubtful", "Questionable", "Probable")) + """,
- string_agg(player_name || ' (' || status || ')', ', ' order by player_name || ' (' || status || ')') as injury_list from v_injuries where status <> 'N/A' group by 1, 2"""
+SQL["team_injury_features"] = """select capture_date, team_abbrev, count(*) as injured_players, """ + ", ".join(f"cast(sum((status = '{s}')::int) as bigint) as players_{s.lower()}" for s in ("Out", "Doubtful", "Questionable", "Probable")) + """,
+ string_agg(player_name || ' (' || status || ')', ', ' order by player_name || ' (' || status || ')') as injury_list, timestamp '2024-01-01' as updated_at from v_injuries where status <> 'N/A' group by 1, 2"""
 
 # Feature groups: the same joins, written by name, with the published defaults.
 
