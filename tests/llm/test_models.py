@@ -205,7 +205,7 @@ def test_equal_vectors_are_ranked_by_id_wherever_they_lie(spark):
     rng = np.random.default_rng(5)
     same, other = rng.normal(size=24), rng.normal(size=(150, 24))
     rows = [(i, [float(x) for x in (same if i % 3 else other[i % 150])]) for i in range(450)]
-    docs = spark.createDataFrame(rows, "vec_id long, vector array<double>")
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = multi_index.search(docs, F.pmod("vec_id", F.lit(7)) == 0, top=10, share=1.0, centroids=4, shard=20).collect()
     x = np.array([v for _, v in rows])
     for q in range(0, 450, 7):
