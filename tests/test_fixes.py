@@ -6,7 +6,7 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from foretally.functions.numeric import half_up, rounded
-from foretally.ml.analysis import matchup_report, with_partner
+from foretally.ml.analysis import injury_list, matchup_report, with_partner
 from foretally.plans.assembly import neutral
 from foretally.plans.registry import Models
 
@@ -54,3 +54,25 @@ def test_tables_of_a_graph_can_be_deleted(spark):
     m.close()
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     assert not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def test_injury_list_ranks_once_per_team_and_day(spark):
+    games = spark.createDataFrame(
+        [(1, "1995-01-08", 3, 4), (2, "1995-01-08", 4, 3), (5, "1995-01-08", 3, 3), (6, "1995-01-08", 3, 4), (6, "1995-01-09", 3, 5), (None, "1995-01-08", 3, 4), (None, "1995-01-05", 4, 3), (7, None, 3, 4)],
+        "game_id long, game_date string, home_team_id int, away_team_id int").withColumn("game_date", F.to_date("game_date"))
+    reports = spark.createDataFrame(
+        [(i, f"1995-01-{d:02d}", n, s) for i, (d, n, s) in enumerate([(1, "a", "Out"), (8, "b", "Out"), (8, "a", "Doubtful"), (9, "a", "Out"), (3, "c", "Out"), (3, "c", "N/A"), (4, "d", "Out")])],
+        "injury_id long, capture_date string, player_name string, status string").withColumn("capture_date", F.to_date("capture_date"))
+    players = spark.createDataFrame([(31, "a", 3), (32, "b", 3), (41, "c", 4), (33, "d", None)], "player_id int, player_name string, team_id int")
+    stars = spark.createDataFrame([(32, "star", 30.0)], "player_id int, player_tier string, impact_score double")
+    out = injury_list(games, reports, players, stars)
+    lists = {}
+    for r in out.collect():
+        lists.setdefault((r.game_id, r.team_id), []).append((r["rank"], r.injury_id))
+    both = [1, 2, 0]  # of team 3 on 8 January, newest first, then by impact
+    want = {(1, 3): both, (2, 3): both, (1, 4): [4], (2, 4): [4], (5, 3): [1, 1, 2, 2, 0, 0], (6, 3): [3, 1, 1, 2, 2, 0], (6, 4): [4], (None, 3): [1, 2, 0, 0], (None, 4): [4, 4]}
+    assert {k: [i for _, i in sorted(v)] for k, v in lists.items()} == want
+    assert all(sorted(k for k, _ in v) == list(range(1, len(v) + 1)) for v in lists.values())
+    # the ranks of games that name a team once come from a window over (team, day)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"row_number\(\) windowspecdefinition\(team_id#\d+, game_date#\d+", plan)
