@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from foretally.functions.numeric import half_up, rounded
 from foretally.ml.analysis import injury_list, matchup_report, with_partner
+from foretally.ml.dataset import dense_rows
 from foretally.plans.assembly import neutral
 from foretally.plans.registry import Models
 
@@ -76,3 +77,10 @@ def test_injury_list_ranks_once_per_team_and_day(spark):
     # the ranks of games that name a team once come from a window over (team, day)
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert re.search(r"row_number\(\) windowspecdefinition\(team_id#\d+, game_date#\d+", plan)
+
+
+def test_dense_rows_with_very_many_features(spark):
+    names = [f"f{i}" for i in range(3_000)]
+    df = spark.range(3).select("id", *[F.when(F.col("id") * 300 <= i, 1).alias(c) for i, c in enumerate(names)])
+    got = dense_rows(df, names).select("id", "f0", "f2999").collect()
+    assert [tuple(r) for r in got] == [(0, 1.0, 1.0), (1, 0.0, 1.0)]
