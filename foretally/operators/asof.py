@@ -17,15 +17,22 @@ def asof_day(
     tie: list[str],
     strict: bool = True,
     ttl_days: int | None = None,
+    place: str | None = None,
 ) -> DataFrame:
     """Latest right row on an earlier day (or the same day when not strict).
 
     Both sides shrink to one row per (by, day) before the window, so a busy key
-    costs one row per day; the fact rows are only joined on (by, day).
+    costs one row per day; the fact rows are only joined on (by, day). `place`
+    names a number of the right rows that is never null, unique in a key and ordered
+    as `tie`: then the newest row of a day is found by hashing, without sorting the rows.
     """
-    newest = right.groupBy(*by, day).agg(
-        F.max_by(F.struct(F.col(day).alias("_seen"), *cols), F.struct(*tie)).alias("_row")
-    )
+    if place is None:
+        newest = right.groupBy(*by, day).agg(
+            F.max_by(F.struct(F.col(day).alias("_seen"), *cols), F.struct(*tie)).alias("_row")
+        )
+    else:
+        last = right.groupBy(*by, day).agg(*[F.max_by(c, place).alias(f"_l_{c}") for c in cols])
+        newest = last.select(*by, day, F.struct(F.col(day).alias("_seen"), *[F.col(f"_l_{c}").alias(c) for c in cols]).alias("_row"))
     newest = latest(newest, by, day)
     asked = left.select(*by, day).distinct()
     order = Window.partitionBy(*by).orderBy(day).rowsBetween(Window.unboundedPreceding, -1 if strict else 0)

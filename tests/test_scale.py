@@ -1,10 +1,12 @@
 """Code length and aggregation by hashing: what decides time on larger tables."""
 
+import datetime as dt
 import math
 
 from pyspark.sql import functions as F
 
 from foretally.functions.numeric import half_up, half_up_sql, rounded
+from foretally.operators.asof import asof_day
 from foretally.plans.registry import Models
 
 LIMIT = "spark.sql.codegen.hugeMethodLimit"
@@ -30,3 +32,14 @@ def test_rounding_text_names_its_column_four_times_and_rounds_as_the_column_does
     got, want = [r.v for r in rounded(df, 2).collect()], [r.y for r in df.select(half_up("v", 2).alias("y")).collect()]
     assert [repr(v) for v in got] == [repr(v) for v in want]
     assert all(math.copysign(1, v) == 1 for v in got[2:5])
+
+
+def test_newest_row_of_a_day_is_found_without_sorting_rows(spark):
+    day = dt.date(2024, 1, 1)
+    rows = [(e, day + dt.timedelta(days=n // 3), n, n, None if n % 4 == 2 else n * 0.5) for e in (1, None) for n in range(12)]
+    right = spark.createDataFrame(rows, "e int, day date, id long, n long, x double")
+    left = spark.createDataFrame([(i, e, day + dt.timedelta(days=i)) for e in (1, 2, None) for i in range(6)], "k int, e int, day date")
+    args = (left, right, ["e"], "day", ["x", "n"], ["id"])
+    plain, hashed = asof_day(*args), asof_day(*args, place="n")
+    assert "SortAggregate" in plan(plain) and "SortAggregate" not in plan(hashed)
+    assert sorted(map(str, hashed.collect())) == sorted(map(str, plain.collect()))
