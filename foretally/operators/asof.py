@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .carry import earlier_rows, latest
+from .scratch import kept
 
 
 def asof_day(
@@ -42,9 +43,7 @@ def asof_day(
     hits = found.filter("_ask")
     if ttl_days is not None:
         hits = hits.withColumn("_hit", F.when(F.datediff(day, "_hit._seen") <= ttl_days, F.col("_hit")))
-    return left.join(
-        hits.select(*by, day, *[F.col(f"_hit.{c}").alias(c) for c in cols]), [*by, day], "left"
-    )
+    return left.join(kept(hits.select(*by, day, *[F.col(f"_hit.{c}").alias(c) for c in cols]), "asof"), [*by, day], "left")
 
 
 def asof_prior(
