@@ -8,14 +8,21 @@ from pyspark.sql import functions as F
 from ..functions.numeric import flag, nvl
 from ..functions.text import name_key
 from ..operators.asof import latest_n_asof
-from ..operators.history import prior_rows
+from ..operators.history import attach, prior_rows
+from ..operators.scratch import kept
 from .registry import Models, model, with_updated_at
 
 
-def _appearances(m: Models) -> DataFrame:
-    """Box-score rows of players who were on court in a finished game."""
+@model("player_appearances", table=True)
+def player_appearances(m: Models) -> DataFrame:
+    """Box-score rows of players who were on court in a finished game; written once, three models read it."""
     done = m.games.filter("is_completed").select("game_id", "game_date")
-    return m["stg_player_boxscores"].filter("minutes_played > 0").drop("game_date").join(done, "game_id")
+    return m["stg_player_boxscores"].filter("minutes_played > 0").drop("game_date").join(done, "game_id").select(
+        "game_id", "game_date", "team_id", "player_id", "points", "assists", "rebounds")
+
+
+def _appearances(m: Models) -> DataFrame:
+    return m["player_appearances"]
 
 
 @model("int_star_players", table=True, whole=True)
@@ -107,7 +114,8 @@ def match_players(injuries: DataFrame, players: DataFrame) -> DataFrame:
 def injury_star_reports(m: Models) -> DataFrame:
     """Injury reports of star and key players with the team they count for."""
     teams = m["stg_teams"].select("team_id", F.col("team_abbreviation").alias("team_abbrev"))
-    reports = match_players(m["stg_injuries"].filter("status <> 'N/A'"), m["players"])
+    # the squads are looked through twice
+    reports = match_players(m["stg_injuries"].filter("status <> 'N/A'"), kept(m["players"], "squads"))
     stars = m["int_star_players"].select("player_id", "player_tier", "impact_score")
     return reports.join(stars, "player_id").join(teams, "team_abbrev", "left").select(
         "injury_id", "capture_date", "player_id", "player_tier", "impact_score",
@@ -149,7 +157,7 @@ def game_injuries(m: Models) -> DataFrame:
 
     squad = stars.groupBy("team_id").agg(*totals("all_"))
     played = _appearances(m).select("game_id", "player_id").distinct().join(stars, "player_id").groupBy("game_id", "team_id").agg(*totals("on_"))
-    rows = sides.join(reported, ["team_id", "game_date"], "left").join(squad, "team_id", "left").join(played, ["game_id", "team_id"], "left")
+    rows = attach(attach(sides, reported, ["team_id", "game_date"]), squad, ["team_id"]).join(played, ["game_id", "team_id"], "left")
 
     def missing(c):
         return F.when(F.col("is_completed"), F.col(f"all_{c}") - nvl(f"on_{c}", 0))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from foretally.operators import history
 from foretally.operators.scratch import kept, written_by
-from foretally.plans import core  # noqa: F401  (registers the models)
+from foretally.plans import core, players  # noqa: F401  (register the models)
 from foretally.plans.registry import Models, write_table
 from foretally.plans.views import staging_from_star
 
@@ -65,3 +65,10 @@ def test_opponent_models_do_not_make_the_forty_rolling_columns(spark):
     assert context.filter("o_wp10 is not null").count() > 0
     assert not {"int_team_rolling_stats", "int_team_roll_lkp"} & set(m._built)
     m.close()
+
+
+def test_player_rows_are_made_once_for_all_models_that_read_them(spark):
+    m = Models(spark, staging_from_star(spark, "/root/testdata/sf0.001"))
+    read = [m[n]._jdf.queryExecution().optimizedPlan().toString() for n in ("int_star_players", "injury_star_reports", "int_star_player_avail", "int_game_injury_features")]
+    assert not any("l_returnflag" in p or "l_quantity" in p for p in read)
+    m.close()
