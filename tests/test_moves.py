@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from foretally.operators import history
 from foretally.operators.scratch import kept, written_by
 from foretally.plans import core, players  # noqa: F401  (register the models)
-from foretally.plans.registry import Models, write_table
+from foretally.plans.registry import Models, one_key_enough, write_table
 from foretally.plans.views import staging_from_star
 
 DAY = dt.date(2024, 1, 1)
@@ -72,3 +73,17 @@ def test_player_rows_are_made_once_for_all_models_that_read_them(spark):
     read = [m[n]._jdf.queryExecution().optimizedPlan().toString() for n in ("int_star_players", "injury_star_reports", "int_star_player_avail", "int_game_injury_features")]
     assert not any("l_returnflag" in p or "l_quantity" in p for p in read)
     m.close()
+
+
+def test_rows_that_lie_together_by_game_join_on_game_and_team_without_moving(spark):
+    a, b = (spark.range(40).selectExpr("id div 2 as game_id", "id % 2 as team_id", f"id as {c}").repartition("game_id") for c in "ab")
+    setting = spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition")
+
+    def by_both():
+        plan = a.hint("merge").join(b, ["game_id", "team_id"])._jdf.queryExecution().executedPlan().toString()
+        return len(re.findall(r"hashpartitioning\(game_id#\d+L?, team_id", plan))
+
+    apart = by_both()
+    with one_key_enough(spark):
+        together = by_both()
+    assert (apart, together) == (2, 0) and spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == setting
