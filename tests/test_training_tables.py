@@ -40,3 +40,27 @@ def test_early_stopping_takes_all_rows_of_a_table_over_the_bound(spark, graph, m
     monkeypatch.setattr(model, "fit_stopping", few_trees)
     row = catalog_ml.ml_early_stopping(spark, "").first()
     assert seen == [480] and row.n == 120 and row.features == len(FORM)
+
+
+def test_fits_read_rows_that_are_written_once(spark, graph, monkeypatch):
+    plans, fit = [], model.fit
+
+    def watched(train, *args, **options):
+        plans.append(train._jdf.queryExecution().optimizedPlan().toString())
+        return fit(train, *args, **options)
+
+    monkeypatch.setattr(model, "fit", watched)
+    picked = {r.feature: (r.kept_by_rfe, r.kept_by_percentile) for r in catalog_ml.ml_select_features(spark, "").collect()}
+    assert set(picked) == set(FORM) and picked[FORM[0]] == (True, True)
+    assert len(plans) == 1  # four features are fewer than the six that are kept: one model for both methods
+    assert catalog_ml.ml_train_boosted(spark, "").first().n == 120
+    assert catalog_ml.ml_stacking(spark, "").first().n == 120
+    assert len(plans) == 2 + 9
+    assert not any(word in p for p in plans for word in ("Aggregate", "Window", "Join"))
+
+
+def test_elimination_goes_on_from_given_importances(graph):
+    rows = graph["training_split"].drop("part")
+    scored = model.selector_importances(rows, list(FORM), trees=3, depth=2)
+    got, want = (model.select_features(rows, list(FORM), "rfe", n=2, trees=3, depth=2, **k) for k in ({"scored": scored}, {}))
+    assert got == want and len(got) == 2
