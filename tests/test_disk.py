@@ -93,3 +93,16 @@ def test_a_setting_is_held_until_its_last_block_ends(spark):
     b.__exit__(None, None, None)
     assert spark.conf.get(key, None) == before
 
+
+
+def test_wide_tables_are_joined_as_structs(spark):
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (None, "d")], "game_id long, x string")
+    one = spark.createDataFrame([(1, 1, 10.0), (2, 2, None), (2, 3, 30.0), (None, 4, 40.0)], "game_id long, p int, q double")
+    two = spark.createDataFrame([(1, True), (9, False)], "game_id long, r boolean")
+    got = assembly.beside(left, [one, two])
+    want = left.join(one, "game_id", "left").join(two, "game_id", "left")
+    assert got.columns == want.columns and [t for _, t in got.dtypes] == [t for _, t in want.dtypes]
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0 and got.count() == 6
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    joined = [line for line in plan.splitlines() if "Project" in line]
+    assert joined and "AS x#" in joined[0] and "AS q#" in joined[0] and not any("AS x#" in line or "AS q#" in line for line in joined[1:])
